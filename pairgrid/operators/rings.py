@@ -503,17 +503,18 @@ def ring_sources(groups: DataFrame) -> DataFrame:
 
 def ring_summary(records: DataFrame, candidates: DataFrame, limit: int = 0) -> DataFrame:
     """One row of counts; the frame counts come from the records in use."""
-    frames = records.groupBy("scene_name", "frame_index").agg(F.lit(1).alias("one")).agg(
-        F.count("one").alias("source_scene_frame_count")
-    )
-    full = complete_frames(records).agg(F.count(F.lit(1)).alias("complete_unambiguous_ring_frame_count"))
+    frames = records.select("scene_name", "frame_index").distinct().agg(F.count(F.lit(1)))
+    full = complete_frames(records).agg(F.count(F.lit(1)))
     good = F.count_if(F.col("reason").isNull())
     published = F.least(good, F.lit(limit)) if limit else good
-    outcome = candidates.agg(
+    return candidates.agg(
         F.count(F.lit(1)).alias("candidate_group_count"),
         good.alias("complete_group_count_before_limit"),
         F.count_if(F.col("reason").isNotNull()).alias("excluded_group_count"),
         published.alias("group_count"),
         (published * IMAGES_PER_RING).alias("image_count"),
+    ).select(
+        frames.scalar().alias("source_scene_frame_count"),
+        full.scalar().alias("complete_unambiguous_ring_frame_count"),
+        "*",
     )
-    return frames.crossJoin(full).crossJoin(outcome)
