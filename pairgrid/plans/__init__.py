@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("ring_queries", "gate_queries", "planning_queries")
+_MODULES = ("ring_queries", "gate_queries", "planning_queries", "review_queries", "audit_queries", "release_queries")
 
 
 def load() -> None:

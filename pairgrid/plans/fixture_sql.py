@@ -14,10 +14,10 @@ def _define(name: str, needs: tuple[str, ...], body: str) -> None:
 _define("obs", (), """
   SELECT printf('scene-%05d', scene_no) AS scene_name,
          printf('w%06d', frame_index // 5 * 5) AS window_id,
-         frame_index, CAST(cam AS VARCHAR) AS camera_id,
+         CAST(frame_index AS INT) AS frame_index, CAST(cam AS VARCHAR) AS camera_id,
          printf('obj-%06d', obj_no) AS obj_id,
          printf('inst-%06d', obj_no // 2) AS instance_token,
-         q * 6 AS area_pixels, 1 + sk % 4 AS visibility_level, q >= 25 AS usable,
+         q * 6 AS area_pixels, CAST(1 + sk % 4 AS INT) AS visibility_level, q >= 25 AS usable,
          obj_no, pk, sk, n, q, d, t, r
   FROM (SELECT l_orderkey // 60 AS scene_no, (l_orderkey % 60) // 6 AS frame_index,
                (l_linenumber - 1) % 6 AS cam, l_orderkey // 60 * 6 + l_suppkey % 6 AS obj_no,
