@@ -1 +1,9 @@
 """DataFrame operators for building and auditing multi-view paired records."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to Python workers by value, so executors need
+# no installed copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,7 +1,546 @@
-"""placeholder"""
-from pyspark.sql import Window, functions as F
+"""Pixel work: long-form rules for tiles, Arrow batches for whole images.
 
+The long form has one row per pixel and layer and stays inside Spark SQL. Whole
+images are binary columns of one row per sample; a task holds a small batch of
+them at a time.
+"""
 
-def order_layers(df, sample, depth, tie):
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from pairgrid.functions import arrays
+from pairgrid.functions.gates import (
+    OCCLUSION_POLICY,
+    STATIC_EVIDENCE,
+    layer_violations,
+    normalize_quality,
+    receipt_violations,
+    result_violations,
+)
+from pairgrid.functions.semantics import IMAGE_HEIGHT, IMAGE_WIDTH, is_hash, nonzero_or, text
+
+PIXEL = ["sample_id", "y", "x"]
+
+
+# --- long form -----------------------------------------------------------
+
+
+def order_layers(layers: DataFrame, sample: str = "sample_id", depth: str = "median_depth_m", tie: str = "ord") -> DataFrame:
+    """Paint order within a sample: far to near, ties in input order. A sample has few layers."""
     w = Window.partitionBy(sample).orderBy(F.desc(depth), tie)
-    return df.withColumn("paint_order", F.row_number().over(w))
+    return layers.withColumn("paint_order", F.row_number().over(w))
+
+
+def support(alpha: Column, threshold: float = arrays.SUPPORT) -> Column:
+    return alpha > threshold
+
+
+def cut_foreground(value: Column, hidden: Column) -> Column:
+    return F.when(hidden, F.lit(0.0)).otherwise(value)
+
+
+def changed(before: list[Column], after: list[Column]) -> Column:
+    """Does any channel differ?"""
+    differences = [F.abs(a - b) for a, b in zip(before, after)]
+    return (F.greatest(*differences) if len(differences) > 1 else differences[0]) > 0
+
+
+def composite(layers: DataFrame, background: Column) -> DataFrame:
+    """Paint premultiplied layers over the background, pixel by pixel."""
+    stack = F.array_sort(F.collect_list(F.struct((-F.col("depth")).alias("far"), "ord", "alpha", "rgb")))
+    painted = F.aggregate(
+        "stack", background.cast("double"), lambda out, layer: layer["rgb"] + out * (F.lit(1.0) - layer["alpha"])
+    )
+    return layers.groupBy(*PIXEL).agg(stack.alias("stack")).select(*PIXEL, painted.alias("value"))
+
+
+def overlay(layers: DataFrame, base: Column) -> DataFrame:
+    """Replace the base under each layer's mask, later layers winning; and the union of masks."""
+    return layers.groupBy(*PIXEL).agg(
+        F.coalesce(F.max_by("replacement", F.when(F.col("mask"), F.col("ord"))), base).alias("value"),
+        F.bool_or("mask").alias("edited"),
+    )
+
+
+def nearer(scene: Column, asset: Column) -> Column:
+    """Both depths finite and positive, and the scene in front by the larger of two margins."""
+    inf = F.lit(float("inf"))
+    usable = (scene > 0) & (scene < inf) & (asset > 0) & (asset < inf)
+    margin = F.greatest(F.lit(arrays.DEPTH_MARGIN_M), asset * F.lit(arrays.DEPTH_MARGIN_SHARE))
+    return F.coalesce(usable & (scene + margin < asset), F.lit(False))
+
+
+def median_depth(layers: DataFrame, depth: str = "depth") -> DataFrame:
+    """Median of the positive finite depths per layer; null when there are none."""
+    good = F.when((F.col(depth) > 0) & (F.col(depth) < F.lit(float("inf"))), F.col(depth))
+    return layers.groupBy("sample_id", "ord").agg(F.median(good).alias("median_depth_m"))
+
+
+def mask_stats(layers: DataFrame) -> DataFrame:
+    """Support, edited and total pixels per layer."""
+    return layers.groupBy("sample_id", "ord").agg(
+        F.count_if(support(F.col("alpha"))).alias("support_pixels"),
+        F.count_if(F.col("alpha") > 0).alias("edited_pixels"),
+        F.count(F.lit(1)).alias("pixels"),
+    )
+
+
+def overlap_fractions(layers: DataFrame) -> DataFrame:
+    """Shared pixels of the layer pairs that meet, against the smaller layer.
+
+    Pairs arise only where two layers cover one pixel, never from all layers of
+    a sample.
+    """
+    shown = layers.filter(support(F.col("alpha"))).select(*PIXEL, "ord")
+    sizes = shown.groupBy("sample_id", "ord").agg(F.count(F.lit(1)).alias("size"))
+    meeting = shown.groupBy(*PIXEL).agg(F.array_sort(F.collect_set("ord")).alias("o")).filter(F.size("o") > 1)
+    pairs = F.expr(
+        "flatten(transform(o, (a, i) -> transform(slice(o, i + 2, size(o)), b -> named_struct('first_ord', a, 'second_ord', b))))"
+    )
+    shared = (
+        meeting.select("sample_id", F.explode(pairs).alias("p"))
+        .groupBy("sample_id", "p.first_ord", "p.second_ord")
+        .agg(F.count(F.lit(1)).alias("shared_pixels"))
+    )
+    first = sizes.select("sample_id", F.col("ord").alias("first_ord"), F.col("size").alias("_a"))
+    second = sizes.select("sample_id", F.col("ord").alias("second_ord"), F.col("size").alias("_b"))
+    return (
+        shared.join(first, ["sample_id", "first_ord"])
+        .join(second, ["sample_id", "second_ord"])
+        .select(
+            "sample_id", "first_ord", "second_ord", "shared_pixels",
+            (F.col("shared_pixels") / F.greatest(F.least("_a", "_b"), F.lit(1))).alias("fraction"),
+        )
+    )
+
+
+def edit_overlap(layers: DataFrame, limit: float = arrays.MAX_OVERLAP) -> DataFrame:
+    return overlap_fractions(layers).filter(F.col("fraction") > limit)
+
+
+def removal_violations(pixels: DataFrame) -> DataFrame:
+    """Samples whose removal changed too little, or anything outside its mask.
+
+    ``pixels`` has ``target``, ``removed`` and the boolean ``edit``.
+    """
+    moved = changed([F.col("target")], [F.col("removed")])
+    return _flagged(
+        pixels,
+        {
+            "removal_ineffective": F.count_if(moved) < arrays.MIN_CHANGED,
+            "removal_outside_mask": F.count_if(moved & ~F.col("edit")) > 0,
+        },
+    )
+
+
+def insertion_violations(pixels: DataFrame) -> DataFrame:
+    """Samples whose insertion changed too little, or pixels neither removed nor covered.
+
+    ``pixels`` has ``target``, ``removed``, ``inserted`` and the booleans ``edit``
+    (removal mask) and ``covered`` (some layer's alpha is above zero).
+    """
+    moved = changed([F.col("removed")], [F.col("inserted")])
+    differs = changed([F.col("target")], [F.col("inserted")])
+    return _flagged(
+        pixels,
+        {
+            "insertion_ineffective": F.count_if(moved) < arrays.MIN_CHANGED,
+            "changed_outside_support": F.count_if(differs & ~(F.col("edit") | F.col("covered"))) > 0,
+        },
+    )
+
+
+def _flagged(pixels: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    found = F.array_compact(F.array(*[F.when(rule, F.lit(code)) for code, rule in rules.items()]))
+    return pixels.groupBy("sample_id").agg(found.alias("codes")).filter(F.size("codes") > 0)
+
+
+def pack(pixels: DataFrame, keys: list[str], byte: str) -> DataFrame:
+    """Pixels of one image, row by row, as a binary column. An image has a fixed size."""
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("y", "x", F.col(byte).alias("b")))), lambda p: p["b"])
+    return pixels.groupBy(*keys).agg(ordered.alias("_b")).select(
+        *keys, F.unhex(F.array_join(F.transform("_b", lambda b: F.lpad(F.hex(b), 2, "0")), "")).alias("image")
+    )
+
+
+# --- whole images --------------------------------------------------------
+
+
+def decode_pixels(images: DataFrame) -> DataFrame:
+    """Raw RGB or grey bytes from decoded images, with codes for wrong size or mode.
+
+    The image source stores channels as blue, green, red.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            flipped = [
+                np.frombuffer(data, np.uint8).reshape(-1, 3)[:, ::-1].tobytes() if channels == 3 else data
+                for data, channels in zip(batch["data"], batch["channels"])
+            ]
+            yield batch[["path", "width", "height", "channels"]].assign(pixels=flipped)
+
+    good = images.filter(F.col("height") > 0).select("path", "width", "height", "channels", "data")
+    return good.mapInPandas(run, "path STRING, width INT, height INT, channels INT, pixels BINARY")
+
+
+def components(masks: DataFrame, height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH) -> DataFrame:
+    """Components of every mask with their sizes; ``mask`` is one byte per pixel, above zero is set."""
+    keys = [c for c in masks.columns if c != "mask"]
+    schema = ", ".join(f"{c} {masks.schema[c].dataType.simpleString()}" for c in keys)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for row in batch.itertuples(index=False):
+                labels = arrays.label_components(np.frombuffer(row.mask, np.uint8).reshape(height, width) > 0).ravel()
+                sizes = np.bincount(labels)
+                for i in range(1, sizes.size):
+                    found.append([*(getattr(row, k) for k in keys), i, int(sizes[i]), int(np.argmax(labels == i))])
+            yield pd.DataFrame(found, columns=[*keys, "component_index", "component_pixels", "first_pixel"])
+
+    return masks.mapInPandas(run, schema + ", component_index INT, component_pixels INT, first_pixel INT")
+
+
+_EVIDENCE = (
+    "foreground BINARY, components ARRAY<STRUCT<component_index: INT, component_pixels: INT, "
+    "verified_nearer_seed_pixels: INT, accepted: BOOLEAN>>, full_projected_pixels INT, minimum_overlap_pixels INT, "
+    "selected_occlusion_pixels INT, selected_occlusion_fraction DOUBLE, renderer_verified_occlusion_pixels INT, "
+    "restored_asset_pixels INT, target_exact_overlap_pixels INT, full_asset_support_sha256 STRING, "
+    "target_exact_support_sha256 STRING, nearer_depth_support_sha256 STRING, selected_occlusion_mask_sha256 STRING"
+)
+_EVIDENCE_NAMES = (
+    "foreground", "components", "full_projected_pixels", "minimum_overlap_pixels", "selected_occlusion_pixels",
+    "selected_occlusion_fraction", "renderer_verified_occlusion_pixels", "restored_asset_pixels",
+    "target_exact_overlap_pixels", "full_asset_support_sha256", "target_exact_support_sha256",
+    "nearer_depth_support_sha256", "selected_occlusion_mask_sha256",
+)
+
+
+def occlusion_receipts(layers: DataFrame, height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH) -> DataFrame:
+    """Median depth and, where occlusion is material and proven, its evidence.
+
+    ``layers`` has ``sample_id``, ``ord``, the byte masks ``full_alpha``,
+    ``visible_alpha`` and ``exact_alpha``, and the float64 depth maps
+    ``scene_depth`` and ``asset_depth``. ``depth_code`` tells maps of a wrong
+    shape and layers without any positive finite depth.
+    """
+
+    def one(row) -> dict:
+        out: dict = {"sample_id": row.sample_id, "ord": row.ord, "depth_code": None, "median_depth_m": None}
+        full, visible, exact = (
+            np.frombuffer(m, np.uint8).reshape(height, width) > arrays.ADAPTER_BYTE
+            for m in (row.full_alpha, row.visible_alpha, row.exact_alpha)
+        )
+        scene, asset = (np.frombuffer(d, np.float64) for d in (row.scene_depth, row.asset_depth))
+        if scene.size != full.size or asset.size != full.size:
+            return out | {"depth_code": "depth_shape_differs"}
+        out["median_depth_m"] = arrays.median_depth(asset)
+        if out["median_depth_m"] is None:
+            return out | {"depth_code": "no_positive_depth"}
+        shape = (height, width)
+        return out | (arrays.occlusion_evidence(full, visible, exact, scene.reshape(shape), asset.reshape(shape)) or {})
+
+    columns = ["sample_id", "ord", "depth_code", "median_depth_m", *_EVIDENCE_NAMES]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [one(r) for r in batch.itertuples(index=False)]
+            yield pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in columns})
+
+    wanted = layers.select("sample_id", "ord", "full_alpha", "visible_alpha", "exact_alpha", "scene_depth", "asset_depth")
+    kind = layers.schema["ord"].dataType.simpleString()
+    return wanted.mapInPandas(run, f"sample_id STRING, ord {kind}, depth_code STRING, median_depth_m DOUBLE, {_EVIDENCE}")
+
+
+def receipt_struct() -> Column:
+    """Occlusion receipt in the form the gates read, from one row of :func:`occlusion_receipts`."""
+    region = F.struct(
+        F.lit(STATIC_EVIDENCE).alias("evidence_kind"),
+        F.lit(arrays.MIN_SEEDS).alias("minimum_verified_seed_pixels_per_component"),
+        F.col("components"),
+        F.transform(F.filter("components", lambda c: c["accepted"]), lambda c: c["component_index"]).alias(
+            "accepted_component_indices"
+        ),
+        F.col("selected_occlusion_pixels").alias("selected_pixels"),
+        F.lit(True).alias("accepted"),
+    )
+    return F.when(
+        F.col("foreground").isNotNull(),
+        F.struct(
+            F.lit(1).alias("schema_version"),
+            F.lit(OCCLUSION_POLICY).alias("policy"),
+            F.lit(True).alias("quality_gate_pass"),
+            F.lit(True).alias("independent_foreground_verified"),
+            F.lit(arrays.MIN_SEEDS).alias("minimum_static_seed_pixels"),
+            F.sha2("scene_depth", 256).alias("scene_depth_sha256"),
+            F.sha2("asset_depth", 256).alias("asset_depth_sha256"),
+            "nearer_depth_support_sha256",
+            "full_asset_support_sha256",
+            "target_exact_support_sha256",
+            "selected_occlusion_mask_sha256",
+            "selected_occlusion_pixels",
+            "renderer_verified_occlusion_pixels",
+            "restored_asset_pixels",
+            F.array()
+            .cast(
+                "array<struct<is_distinct_from_target: boolean, official_annotation_bound: boolean, "
+                "strictly_nearer_than_target: boolean, accepted: boolean>>"
+            )
+            .alias("official_instance_decisions"),
+            F.array(region).alias("static_region_decisions"),
+        ),
+    )
+
+
+def merge_removals(samples: DataFrame, height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH) -> DataFrame:
+    """Removed image and union mask per sample.
+
+    ``samples`` has ``sample_id``, the RGB bytes ``target`` and ``edits``, an
+    array of (mask, replacement) in layer order; later layers win.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            removed, masks = [], []
+            for row in batch.itertuples(index=False):
+                image = np.frombuffer(row.target, np.uint8).reshape(height * width, 3).copy()
+                union = np.zeros(height * width, dtype=bool)
+                for edit in row.edits:
+                    mask = np.frombuffer(edit["mask"], np.uint8) > arrays.ADAPTER_BYTE
+                    image[mask] = np.frombuffer(edit["replacement"], np.uint8).reshape(-1, 3)[mask]
+                    union |= mask
+                removed.append(image.tobytes())
+                masks.append((union * np.uint8(255)).tobytes())
+            yield pd.DataFrame({"sample_id": batch["sample_id"].to_numpy(), "removed": removed, "removed_mask": masks})
+
+    return samples.select("sample_id", "target", "edits").mapInPandas(
+        run, "sample_id STRING, removed BINARY, removed_mask BINARY"
+    )
+
+
+def adapt_results(jobs: DataFrame, layers: DataFrame, height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH) -> DataFrame:
+    """Renderer layers of each job as one result row, ready for :func:`compose`.
+
+    ``jobs`` holds what a result repeats of its job and exposure; ``layers`` has
+    one row per (sample, ord) with masks, depth maps, images, the nested
+    ``raw_quality`` and the cleanup flags. A job has a handful of layers.
+    """
+    evidence = occlusion_receipts(layers, height, width)
+    joined = layers.join(evidence, ["sample_id", "ord"])
+    occluded = F.coalesce(F.col("selected_occlusion_pixels") > 0, F.lit(False))
+    layer = F.struct(
+        "ord",
+        F.struct(
+            "obj_id", "instance_token", "asset_sha256", "exact_identity_verified", "official_dimensions_m", "forward_axis",
+            "official_dimensions_applied", "canonical_orientation_applied", "bottom_ground_locked", "median_depth_m",
+            normalize_quality(F.col("raw_quality"), occluded).alias("quality"),
+            F.col("layer_rgb").alias("rgb"), F.col("full_alpha").alias("alpha"),
+            "foreground",
+            F.col("exact_alpha").alias("exact"),
+            receipt_struct().alias("receipt"),
+        ).alias("layer"),
+    )
+    per_sample = joined.groupBy("sample_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("ord", F.struct("mask", "replacement").alias("e")))), lambda v: v["e"]).alias("edits"),
+        F.array_agg(layer).alias("_layers"),
+        F.max("depth_code").alias("depth_code"),
+        F.bool_and(F.coalesce("usable", F.lit(False))).alias("usable"),
+        F.bool_and(F.coalesce("passed", F.lit(False))).alias("passed"),
+        F.min("target_sha256").eqNullSafe(F.max("target_sha256")).alias("same_target"),
+        F.min("gt_sha256").eqNullSafe(F.max("gt_sha256")).alias("same_gt"),
+    )
+    whole = jobs.join(per_sample, "sample_id")
+    removals = merge_removals(whole, height, width)
+    return whole.join(removals, "sample_id").select(
+        *[c for c in jobs.columns],
+        F.when(F.col("depth_code").isNotNull(), F.col("depth_code"))
+        .when(~(F.col("same_target") & F.col("same_gt")), "backgrounds_differ")
+        .alias("adapter_code"),
+        F.struct(F.col("usable").alias("observation_technical_usable"), F.col("passed").alias("quality_gate_pass")).alias(
+            "original_actor_cleanup_receipt"
+        ),
+        "removed",
+        "removed_mask",
+        F.expr("transform(array_sort(_layers, (a, b) -> a.ord - b.ord), v -> v.layer)").alias("asset_layers"),
+    )
+
+
+_COMPOSED = (
+    "sample_id STRING, code STRING, input BINARY, occlusion ARRAY<STRUCT<pixels: INT, applied: BOOLEAN, "
+    "renderer_occlusion_regression: BOOLEAN>>"
+)
+
+
+def paint_samples(samples: DataFrame, height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH) -> DataFrame:
+    """Composite each sample from its bytes and check every pixel rule.
+
+    Columns: ``sample_id``, RGB bytes ``target`` and ``removed``, the mask
+    ``removed_mask``, and ``asset_layers`` with ``rgb``, ``alpha``,
+    ``foreground``, ``exact``, ``median_depth_m``, ``complete`` and ``receipt``.
+    ``code`` is the first rule broken, or null.
+    """
+    size = height * width
+
+    def rgb(data: bytes) -> np.ndarray:
+        return np.frombuffer(data, np.uint8).reshape(height, width, 3).astype(np.float32) / np.float32(255)
+
+    def grey(data: bytes | None) -> np.ndarray | None:
+        return None if data is None else np.frombuffer(data, np.uint8).reshape(height, width).astype(np.float32) / np.float32(255)
+
+    def one(row) -> tuple[str | None, bytes | None, list]:
+        parts = [row.target, row.removed] + [x["rgb"] for x in row.asset_layers]
+        masks = [row.removed_mask] + [x["alpha"] for x in row.asset_layers]
+        if any(p is None or len(p) != 3 * size for p in parts) or any(m is None or len(m) != size for m in masks):
+            return "invalid_image", None, []
+        target, removed, edit = rgb(row.target), rgb(row.removed), grey(row.removed_mask) > 0
+        moved = arrays.changed(removed, target)
+        if moved.sum() < arrays.MIN_CHANGED:
+            return "removal_ineffective", None, []
+        if (moved & ~edit).any():
+            return "removal_outside_mask", None, []
+        if len(row.asset_layers) == 0:
+            return "no_asset_layers", None, []
+        alphas, colours, depths, notes = [], [], [], []
+        for layer in row.asset_layers:
+            alpha, colour = grey(layer["alpha"]), rgb(layer["rgb"])
+            hidden, note, code = arrays.verified_foreground(
+                alpha, grey(layer["foreground"]), grey(layer["exact"]), layer["receipt"] or {}
+            )
+            if code:
+                return code, None, []
+            if note["regression"]:
+                return "occlusion_regression", None, []
+            alpha = np.where(hidden, np.float32(0), alpha)
+            seen = int((alpha > arrays.SUPPORT).sum())
+            whole = int(layer["complete"] or seen)
+            if seen < 20 or seen / max(whole, 1) < 0.15:
+                return "not_materially_visible", None, []
+            alphas.append(alpha)
+            colours.append(np.where(hidden[..., None], np.float32(0), colour))
+            depths.append(float(layer["median_depth_m"] or np.inf))
+            notes.append((note["pixels"], note["applied"], note["regression"]))
+        stack = np.stack(alphas)
+        if arrays.overlap_exceeded(stack > arrays.SUPPORT):
+            return "edit_overlap", None, []
+        out = arrays.paint(removed, np.stack(colours), stack, np.array(depths))
+        if arrays.changed(out, removed).sum() < arrays.MIN_CHANGED:
+            return "insertion_ineffective", None, []
+        if (arrays.changed(out, target) & ~(edit | (stack > 0).any(axis=0))).any():
+            return "changed_outside_support", None, []
+        return None, arrays.to_bytes(out), notes
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            done = [one(r) for r in batch.itertuples(index=False)]
+            names = ("pixels", "applied", "renderer_occlusion_regression")
+            yield pd.DataFrame(
+                {
+                    "sample_id": batch["sample_id"].to_numpy(),
+                    "code": pd.Series([d[0] for d in done], dtype=object),
+                    "input": pd.Series([d[1] for d in done], dtype=object),
+                    "occlusion": pd.Series([[dict(zip(names, n)) for n in d[2]] for d in done], dtype=object),
+                }
+            )
+
+    wanted = samples.select(
+        "sample_id", "target", "removed", "removed_mask",
+        F.transform(
+            "asset_layers",
+            lambda x: F.struct(
+                x["rgb"].alias("rgb"), x["alpha"].alias("alpha"), x["foreground"].alias("foreground"), x["exact"].alias("exact"),
+                x["median_depth_m"].cast("double").alias("median_depth_m"),
+                x["quality"]["complete_projected_asset_pixels"].alias("complete"),
+                F.struct(
+                    *[
+                        x["receipt"][n].alias(n)
+                        for n in (
+                            "schema_version", "selected_occlusion_pixels", "full_asset_support_sha256",
+                            "selected_occlusion_mask_sha256", "target_exact_support_sha256",
+                            "renderer_verified_occlusion_pixels", "restored_asset_pixels",
+                        )
+                    ]
+                ).alias("receipt"),
+            ),
+        ).alias("asset_layers"),
+    )
+    return wanted.mapInPandas(run, _COMPOSED)
+
+
+def compose(
+    results: DataFrame, expected_domain: str, order: str = "ord", height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH
+) -> tuple[DataFrame, DataFrame]:
+    """Accepted triplets and rejected results with a reason.
+
+    The rule gates run first, as columns; only rows that pass them carry their
+    images into the pixel stage. The reason is the first rule broken. An id is
+    taken by its first complete row in ``order``, whether or not that row passes.
+    ``cleanup_bound`` and the layers' ``receipt_bound`` say whether a receipt
+    carries its own hash; ``hash_code`` names a source image that differs.
+    """
+    complete = results.filter((text(F.col("status")) == "complete") & (text(F.col("sample_id")) != ""))
+    owners = complete.groupBy("sample_id").agg(F.min(order).alias(order), F.lit(True).alias("_owner"))
+    body = F.struct(*results.columns)
+    layers = F.coalesce("asset_layers", F.array())
+    has_mask = F.filter(layers, lambda x: x["foreground"].isNotNull())
+    ruled = F.concat(
+        result_violations(body, F.lit(expected_domain), F.col("cleanup_bound")),
+        F.array_compact(F.array(F.col("hash_code"))),
+        F.flatten(F.transform(layers, layer_violations)),
+        F.flatten(F.transform(has_mask, lambda x: receipt_violations(x["receipt"], x["receipt_bound"]))),
+    )
+    claimed = F.when(
+        (text(F.col("status")) == "complete") & (text(F.col("sample_id")) != "") & F.col("_owner").isNull(), F.array(F.lit("duplicate_result"))
+    ).otherwise(F.array().cast("array<string>"))
+    judged = results.join(owners, ["sample_id", order], "left").withColumn("_codes", F.concat(claimed, ruled))
+    passed = judged.filter(F.size("_codes") == 0).drop("_codes", "_owner")
+    painted = passed.join(paint_samples(passed, height, width), "sample_id")
+    refused = judged.filter(F.size("_codes") > 0).select("sample_id", order, F.get("_codes", F.lit(0)).alias("reason"))
+    unpainted = painted.filter(F.col("code").isNotNull()).select("sample_id", order, F.col("code").alias("reason"))
+    accepted = painted.filter(F.col("code").isNull()).select(
+        "sample_id", order, "scene_name", "frame_index", "camera_id",
+        F.transform("asset_layers", lambda x: x["obj_id"]).alias("selected_obj_ids"),
+        F.transform(
+            F.arrays_zip("asset_layers", "occlusion"),
+            lambda z: F.struct(
+                z["asset_layers"]["obj_id"].alias("obj_id"),
+                z["asset_layers"]["instance_token"].alias("instance_token"),
+                z["asset_layers"]["asset_sha256"].alias("asset_sha256"),
+                z["asset_layers"]["official_dimensions_m"].alias("official_dimensions_m"),
+                z["asset_layers"]["forward_axis"].alias("forward_axis"),
+                nonzero_or(z["asset_layers"]["median_depth_m"], float("inf")).alias("median_depth_m"),
+                z["asset_layers"]["quality"].alias("quality"),
+                z["occlusion"].alias("occlusion"),
+            ),
+        ).alias("asset_layers"),
+        "gt",
+        "input",
+        "target",
+        F.struct(F.sha2("gt", 256).alias("gt"), F.sha2("input", 256).alias("input"), F.sha2("target", 256).alias("target")).alias(
+            "content_sha256"
+        ),
+    )
+    return accepted, refused.unionByName(unpainted)
+
+
+def attach_images(wanted: DataFrame, images: DataFrame) -> DataFrame:
+    """Bytes for each wanted (owner, slot, path), with a code where the file is absent or differs.
+
+    ``wanted`` has ``owner``, ``slot``, ``path`` and the declared ``sha256``;
+    ``images`` has ``path``, ``sha256`` and ``pixels``.
+    """
+    found = images.select("path", F.col("sha256").alias("_sha"), "pixels")
+    return wanted.join(found, "path", "left").select(
+        "owner",
+        "slot",
+        "path",
+        "pixels",
+        F.when(F.col("_sha").isNull(), "missing_file")
+        .when(~is_hash(F.col("sha256")) | (F.col("sha256") != F.col("_sha")), "source_hash_mismatch")
+        .alias("code"),
+    )

@@ -2,7 +2,16 @@
 
 from importlib import import_module
 
-_MODULES = ("ring_queries", "gate_queries", "planning_queries", "review_queries", "audit_queries", "release_queries")
+_MODULES = (
+    "ring_queries",
+    "gate_queries",
+    "planning_queries",
+    "review_queries",
+    "audit_queries",
+    "release_queries",
+    "pixel_queries",
+    "source_queries",
+)
 
 
 def load() -> None:

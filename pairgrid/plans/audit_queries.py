@@ -10,6 +10,7 @@ from pairgrid.operators import audit, rings
 from pairgrid.plans import fixtures as fx
 from pairgrid.plans.fixture_sql import define, with_tables
 from pairgrid.plans.planning_queries import single_jobs
+from pairgrid.plans import ring_queries as _ring_queries  # noqa: F401  (defines the ring expressions)
 from pairgrid.plans.registry import query
 from pairgrid.session import staged
 
@@ -71,7 +72,21 @@ def _results(spark, sf):
     return jobs, sound.filter("q <> 0").unionByName(twice).unionByName(strange).drop("q")
 
 
-@query("j5_bind_results")
+define("job_hashes", ("jobs",), """
+  SELECT *, CAST('0x' || substr(job_sha256, 1, 2) AS INT) AS h FROM (SELECT sample_id, sha256(
+    '{"assets":[{"asset_id":"' || asset_id || '","asset_sha256":"' || sha256('ply|' || obj_no) || '","official_dimensions_m":["'
+    || CAST((40 + obj_no % 5) / 10.0::DOUBLE AS VARCHAR) || '","' || CAST((18 + obj_no % 3) / 10.0::DOUBLE AS VARCHAR) || '","'
+    || CAST((15 + obj_no % 4) / 10.0::DOUBLE AS VARCHAR) || '"]}],"camera_id":"' || camera_id || '","frame_index":' || frame_index
+    || ',"sample_id":"' || sample_id || '","scene_name":"' || scene_name || '","window_id":"' || window_id || '"}') AS job_sha256
+  FROM jobs)""")
+
+
+@query("j5_bind_results", with_tables(("job_hashes",), """
+  SELECT CASE WHEN u = 2 THEN sample_id || '__new' ELSE sample_id END AS sample_id, CASE WHEN u = 2 THEN 'unknown_result' ELSE
+         CASE h WHEN 0 THEN 'missing_result' WHEN 1 THEN 'job_hash_differs' WHEN 2 THEN 'objects_differ' WHEN 3 THEN 'camera_differs'
+                WHEN 4 THEN 'frame_differs' WHEN 5 THEN 'incomplete_result' WHEN 6 THEN 'checkpoints_differ'
+                WHEN 7 THEN 'duplicate_result' END END AS codes
+  FROM job_hashes, range(1, 3) t(u) WHERE (u = 1 AND h < 8) OR (u = 2 AND h = 8)"""))
 def _(spark, sf):
     jobs, results = _results(spark, sf)
     bad = audit.bind_results(jobs, results, {"main": "x", "other": "y"})

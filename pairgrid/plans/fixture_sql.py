@@ -131,7 +131,7 @@ _define("batches", ("records",), """
 _define("tiles", (), """
   SELECT *, alpha * (ord + 1) / 4 AS rgb FROM (
     SELECT printf('tile-%06d', vec_id // 3) AS sample_id, CAST(vec_id % 3 AS INT) AS ord,
-           CAST(vec_id * 7 % 5 AS DOUBLE) AS depth, i // 8 AS y, i % 8 AS x,
+           CAST(vec_id * 7 % 5 AS DOUBLE) AS depth, CAST(i // 8 AS INT) AS y, CAST(i % 8 AS INT) AS x,
            least(1.0::DOUBLE, greatest(0.0::DOUBLE, CAST(embedding[i + 1] AS DOUBLE) * 2)) AS alpha,
            CAST(embedding[i + 1] AS DOUBLE) AS e
     FROM (SELECT vec_id, min(embedding) AS embedding FROM embeddings GROUP BY 1), range(64) r(i))""")
