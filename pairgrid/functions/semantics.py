@@ -95,12 +95,18 @@ def require_empty(violations: DataFrame, message: str, shown: int = 5) -> None:
         raise ValueError(f"{message}: " + "; ".join(str(r.asDict(recursive=True)) for r in rows))
 
 
+def padded(number: Column, width: int) -> Column:
+    """Decimal text of a natural number, ``width`` digits or as many as it needs."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
 def window_name(frame: Column) -> Column:
-    return F.format_string("w%06d", frame)
+    return F.concat(F.lit("w"), padded(frame, 6))
 
 
 def frame_name(frame: Column) -> Column:
-    return F.format_string("f%03d", frame)
+    return F.concat(F.lit("f"), padded(frame, 3))
 
 
 def split_view_key(key: Column) -> tuple[Column, Column]:

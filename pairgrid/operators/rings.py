@@ -21,6 +21,7 @@ from pairgrid.functions.semantics import (
     camera_bit,
     cameras_in,
     first_text,
+    frame_name,
     is_true,
     nonempty_sorted_set,
     role_file,
@@ -32,8 +33,8 @@ ALL_CAMERAS = (1 << len(CAMERAS)) - 1
 IMAGES_PER_RING = len(RING) * len(ROLES)
 
 NO_EVIDENCE = "selected asset has no explicit visibility evidence"
-NO_PAIR = "visible camera %s has no matching audited pair"
-CONFLICT = "visible camera %s has conflicting audited inputs"
+NO_PAIR = "has no matching audited pair"
+CONFLICT = "has conflicting audited inputs"
 
 
 # --- visibility manifest -------------------------------------------------
@@ -344,8 +345,8 @@ def ring_candidates(
     ).select(*key, "unseen", "pos", "v.ring.camera_id", "v.ring.camera_name", "v.applied")
     matched = match_pairs(views, pairs).withColumn(
         "failure",
-        F.when((F.size("applied") > 0) & F.col("pair").isNull(), F.format_string(NO_PAIR, "camera_id")).when(
-            F.col("conflicting"), F.format_string(CONFLICT, "camera_id")
+        F.when((F.size("applied") > 0) & F.col("pair").isNull(), F.concat_ws(" ", F.lit("visible camera"), "camera_id", F.lit(NO_PAIR))).when(
+            F.col("conflicting"), F.concat_ws(" ", F.lit("visible camera"), "camera_id", F.lit(CONFLICT))
         ),
     )
     grouped = matched.groupBy(*key).agg(
@@ -371,7 +372,7 @@ def ring_candidates(
 
 def group_id(scene: Column, frame: Column, selected: Column) -> Column:
     return F.concat_ws(
-        "__", scene, F.format_string("f%03d", frame), F.concat(F.lit("g-"), F.substring(canonical_sha(selected), 1, 12))
+        "__", scene, frame_name(frame), F.concat(F.lit("g-"), F.substring(canonical_sha(selected), 1, 12))
     )
 
 

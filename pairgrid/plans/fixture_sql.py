@@ -31,8 +31,8 @@ _define("assets", ("obs",), f"""
   SELECT printf('a%011d', obj_no) AS asset_id, printf('obj-%06d', obj_no) AS obj_id,
          printf('inst-%06d', obj_no // 2) AS instance_token, {_CATEGORY} AS category,
          printf('assets/%06d.ply', obj_no) AS ply_path,
-         sha256('ply|' || obj_no) AS ply_sha256, obj_no
-  FROM (SELECT obj_no, max(q) AS q FROM obs GROUP BY 1) WHERE q >= 46""")
+         sha256('ply|' || obj_no) AS ply_sha256, obj_no, least
+  FROM (SELECT obj_no, max(q) AS q, min(q) AS least FROM obs GROUP BY 1) WHERE q >= 46""")
 
 _define("observations", ("obs",), """
   SELECT scene_name, window_id, frame_index, obj_id, instance_token, obj_no,
@@ -108,12 +108,12 @@ _define("gate", ("gated",), """
            AND (yaw IS NULL OR yaw <= lim_yaw) AS adaptive_ok FROM gated)""")
 
 _define("decisions", ("obs",), """
-  SELECT printf('a%011d', obj_no) AS sample_id, sha256('rq|' || obj_no) AS request_sha256, obj_no,
+  SELECT printf('a%011d', obj_no) AS sample_id, sha256('rq|' || obj_no) AS request_sha256, obj_no, least,
          CASE WHEN obj_no % 11 = 0 THEN 'reject' ELSE 'accept' END AS decision,
          CASE WHEN obj_no % 31 = 0 THEN 'timeout' END AS request_error,
          obj_no % 11 = 0 OR obj_no % 9 = 0 OR (obj_no % 2 = 0 AND obj_no % 23 = 0) OR obj_no % 37 = 0
            OR obj_no % 41 = 0 AS hard
-  FROM (SELECT DISTINCT obj_no FROM obs)""")
+  FROM (SELECT obj_no, min(q) AS least FROM obs GROUP BY 1)""")
 
 _define("files", ("records",), """
   SELECT role, sample_id || '.png' AS name,

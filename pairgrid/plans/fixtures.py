@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pairgrid.functions.semantics import ROLES
+from pairgrid.functions.semantics import ROLES, frame_name, padded, window_name
 
 CATEGORIES = ("car", "truck", "bus", "van")
 
@@ -18,17 +18,24 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _numbered(prefix: str, n: Column, width: int) -> Column:
+    return F.concat(F.lit(prefix), padded(n, width))
+
+
 def _obj_id(n: Column) -> Column:
-    return F.format_string("obj-%06d", n)
+    return _numbered("obj-", n, 6)
 
 
 def _alias_id(n: Column) -> Column:
-    return F.format_string("uid-%06d", n)
+    return _numbered("uid-", n, 6)
 
 
-def obs(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per (scene, frame, camera, object)."""
-    k = F.col("l_orderkey")
+def _instance(n: Column) -> Column:
+    return _numbered("inst-", F.floor(n / 2), 6)
+
+
+def _cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Observations as integers: one row per (scene, frame, camera, object)."""
     scene_no = F.expr("l_orderkey div 60")
     return (
         _table(spark, sf, "lineitem")
@@ -54,18 +61,22 @@ def obs(spark: SparkSession, sf: str) -> DataFrame:
             F.max("t").alias("t"),
             F.max("r").alias("r"),
         )
-        .select(
-            F.format_string("scene-%05d", "scene_no").alias("scene_name"),
-            F.format_string("w%06d", F.expr("frame_index div 5 * 5")).alias("window_id"),
-            "frame_index",
-            F.col("cam").cast("string").alias("camera_id"),
-            _obj_id(F.col("obj_no")).alias("obj_id"),
-            F.format_string("inst-%06d", F.expr("obj_no div 2")).alias("instance_token"),
-            (F.col("q") * 6).alias("area_pixels"),
-            (1 + F.col("sk") % 4).cast("int").alias("visibility_level"),
-            (F.col("q") >= 25).alias("usable"),
-            "obj_no", "pk", "sk", "n", "q", "d", "t", "r",
-        )
+    )
+
+
+def obs(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per (scene, frame, camera, object)."""
+    return _cells(spark, sf).select(
+        _numbered("scene-", F.col("scene_no"), 5).alias("scene_name"),
+        window_name(F.expr("frame_index div 5 * 5")).alias("window_id"),
+        "frame_index",
+        F.col("cam").cast("string").alias("camera_id"),
+        _obj_id(F.col("obj_no")).alias("obj_id"),
+        _instance(F.col("obj_no")).alias("instance_token"),
+        (F.col("q") * 6).alias("area_pixels"),
+        (1 + F.col("sk") % 4).cast("int").alias("visibility_level"),
+        (F.col("q") >= 25).alias("usable"),
+        "obj_no", "pk", "sk", "n", "q", "d", "t", "r",
     )
 
 
@@ -79,18 +90,19 @@ def assets(spark: SparkSession, sf: str) -> DataFrame:
     return (
         obs(spark, sf)
         .groupBy("obj_no")
-        .agg(F.max("q").alias("q"), F.max("t").alias("t"))
+        .agg(F.max("q").alias("q"), F.min("q").alias("least"))
         .filter(F.col("q") >= 46)
         .select(
-            F.format_string("a%011d", n).alias("asset_id"),
+            _numbered("a", n, 11).alias("asset_id"),
             _obj_id(n).alias("obj_id"),
-            F.format_string("inst-%06d", F.expr("obj_no div 2")).alias("instance_token"),
+            _instance(F.col("obj_no")).alias("instance_token"),
             category(n).alias("category"),
-            F.format_string("assets/%06d.ply", n).alias("ply_path"),
-            F.sha2(F.format_string("ply|%d", n), 256).alias("ply_sha256"),
+            F.concat(_numbered("assets/", n, 6), F.lit(".ply")).alias("ply_path"),
+            F.sha2(F.concat(F.lit("ply|"), n), 256).alias("ply_sha256"),
             F.array((40 + n % 5) / 10.0, (18 + n % 3) / 10.0, (15 + n % 4) / 10.0).alias("dimensions_m"),
             F.lit("+X").alias("forward_axis"),
             n.alias("obj_no"),
+            "least",
         )
     )
 
@@ -111,7 +123,7 @@ def observations(spark: SparkSession, sf: str) -> DataFrame:
 
 def visibility_jobs(spark: SparkSession, sf: str) -> DataFrame:
     """One row per (scene, object) with a map from view key to usable."""
-    key = F.format_string("%06d:c%s", "frame_index", "camera_id")
+    key = F.concat(padded(F.col("frame_index"), 6), F.lit(":c"), "camera_id")
     return (
         obs(spark, sf)
         .groupBy("scene_name", "obj_id", "instance_token", "obj_no")
@@ -140,56 +152,53 @@ def _hashed(prefix: str, *cs: Column | str) -> Column:
 def records(spark: SparkSession, sf: str) -> DataFrame:
     """Accepted records: single, pair, and re-rendered (``__b``) ones.
 
-    ``named`` is the id a record uses for its asset: the canonical one, or
-    another alias of the same object.
+    ``assets`` names an object by its own id or by another alias. A view shows
+    at most six objects, so its members fit one row and its pairs (of different
+    instances) arise without a join.
     """
-    o = obs(spark, sf).select(
-        "scene_name", "window_id", "frame_index", "camera_id", "obj_id", "instance_token", "obj_no",
-        "pk", "sk", "n", "q", "d", "t", "r",
-        F.when(F.col("r") == 1, F.col("obj_id")).otherwise(_alias_id(F.col("obj_no"))).alias("named"),
+    views = _cells(spark, sf).groupBy("scene_no", "frame_index", "cam").agg(
+        F.array_sort(F.collect_list(F.struct("obj_no", "pk", "sk", "n", "q", "d", "t", "r"))).alias("m")
     )
+    kinds = F.expr(
+        """flatten(array(
+             transform(filter(m, a -> a.t < 8), a -> named_struct('kind', 1, 'a', a, 'b', a)),
+             transform(filter(m, a -> a.t < 8 and a.n > 1 and a.d = 10), a -> named_struct('kind', 2, 'a', a, 'b', a)),
+             flatten(transform(m, a -> transform(
+               filter(m, b -> a.obj_no div 2 < b.obj_no div 2 and a.t + b.t <= 12),
+               b -> named_struct('kind', 3, 'a', a, 'b', b))))))"""
+    )
+
+    def named(side: str) -> Column:
+        n = F.col(f"{side}.obj_no")
+        return F.when(F.col(f"{side}.r") == 1, _obj_id(n)).otherwise(_alias_id(n))
+
+    rows = views.select("scene_no", "frame_index", "cam", F.explode(kinds).alias("k")).select(
+        _numbered("scene-", F.col("scene_no"), 5).alias("scene_name"), "frame_index", F.col("cam").cast("string").alias("camera_id"),
+        "k.kind", "k.a", "k.b",
+    )
+    pair = F.col("kind") == 3
+    first, second = _obj_id(F.col("a.obj_no")), _obj_id(F.col("b.obj_no"))
+    both = F.array(first, second)
     where = [F.col("scene_name"), F.col("frame_index"), F.col("camera_id")]
-    variant = F.when((F.col("d") == 10) & (F.col("q") > 40), F.lit("1")).otherwise(F.lit("0"))
-    single = o.filter(F.col("t") < 8).select(
-        F.concat_ws("__", "scene_name", F.format_string("f%03d", "frame_index"), "obj_id",
-                    F.concat(F.lit("c"), "camera_id")).alias("sample_id"),
+    variant = F.when(~pair & (F.col("a.d") == 10) & (F.col("a.q") > 40), F.lit("1")).otherwise(F.lit("0"))
+    plain_input = F.when(pair, _hashed("in", *where, first, second)).otherwise(_hashed("in", *where, first))
+    return rows.select(
+        F.concat_ws(
+            "__",
+            "scene_name",
+            frame_name(F.col("frame_index")),
+            F.when(pair, F.concat(F.lit("cmb-"), F.substring(F.sha2(F.to_json(both), 256), 1, 12))).otherwise(first),
+            F.concat(F.lit("c"), "camera_id"),
+            F.when(F.col("kind") == 2, F.lit("b")),
+        ).alias("sample_id"),
         "scene_name", "frame_index", "camera_id",
-        F.array("named").alias("assets"),
-        F.array("obj_id").alias("selected"),
+        F.when(pair, F.array(named("a"), named("b"))).otherwise(F.array(named("a"))).alias("assets"),
+        F.when(pair, both).otherwise(F.array(first)).alias("selected"),
         _hashed("gt", *where, variant).alias("gt"),
-        _hashed("in", *where, "obj_id").alias("input"),
+        F.when(F.col("kind") == 2, F.sha2(F.concat(plain_input, F.lit("b")), 256)).otherwise(plain_input).alias("input"),
         _hashed("tg", *where).alias("target"),
-        "pk", "sk", "n", "q", "d", "t",
-    )
-    again = single.filter((F.col("n") > 1) & (F.col("d") == 10)).withColumns(
-        {
-            "sample_id": F.concat("sample_id", F.lit("__b")),
-            "input": F.sha2(F.concat("input", F.lit("b")), 256),
-        }
-    )
-    a, b = o.alias("a"), o.alias("b")
-    both = F.array("a.obj_id", "b.obj_id")
-    pair = (
-        a.join(b, ["scene_name", "frame_index", "camera_id"])
-        .filter((F.col("a.instance_token") < F.col("b.instance_token")) & (F.col("a.t") + F.col("b.t") <= 12))
-        .select(
-            F.concat_ws(
-                "__", "scene_name", F.format_string("f%03d", "frame_index"),
-                F.concat(F.lit("cmb-"), F.substring(F.sha2(F.to_json(both), 256), 1, 12)),
-                F.concat(F.lit("c"), "camera_id"),
-            ).alias("sample_id"),
-            "scene_name", "frame_index", "camera_id",
-            F.array("a.named", "b.named").alias("assets"),
-            both.alias("selected"),
-            _hashed("gt", *where, F.lit("0")).alias("gt"),
-            _hashed("in", *where, "a.obj_id", "b.obj_id").alias("input"),
-            _hashed("tg", *where).alias("target"),
-            "a.pk", "a.sk", "a.n", "a.q", "a.d", "a.t",
-        )
-    )
-    return single.unionByName(again).unionByName(pair).withColumn(
-        "content_sha256", F.struct("gt", "input", "target")
-    )
+        "a.pk", "a.sk", "a.n", "a.q", "a.d", "a.t",
+    ).withColumn("content_sha256", F.struct("gt", "input", "target"))
 
 
 def layers(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,7 +222,7 @@ def layers(spark: SparkSession, sf: str) -> DataFrame:
         (sk % 2 == 0).alias("renderer_geometry_gate_pass"),
     )
     return obs(spark, sf).select(
-        F.concat_ws("__", "scene_name", F.format_string("f%03d", "frame_index"), F.concat(F.lit("c"), "camera_id")).alias(
+        F.concat_ws("__", "scene_name", frame_name(F.col("frame_index")), F.concat(F.lit("c"), "camera_id")).alias(
             "sample_id"
         ),
         "scene_name", "frame_index", "camera_id", "obj_id", "obj_no", "pk", "sk", "q", "d", "t",
@@ -237,11 +246,11 @@ def decisions(spark: SparkSession, sf: str) -> DataFrame:
     m = F.col("obj_no")
     return (
         obs(spark, sf)
-        .select("obj_no")
-        .distinct()
+        .groupBy("obj_no")
+        .agg(F.min("q").alias("least"))
         .select(
-            F.format_string("a%011d", m).alias("sample_id"),
-            F.sha2(F.format_string("rq|%d", m), 256).alias("request_sha256"),
+            _numbered("a", m, 11).alias("sample_id"),
+            F.sha2(F.concat(F.lit("rq|"), m), 256).alias("request_sha256"),
             F.struct(
                 F.when(m % 11 == 0, F.lit("reject")).otherwise(F.lit("accept")).alias("decision"),
                 (m % 9 != 0).alias("same_identity"),
@@ -255,6 +264,7 @@ def decisions(spark: SparkSession, sf: str) -> DataFrame:
             ).alias("decision"),
             F.when(m % 31 == 0, F.lit("timeout")).alias("request_error"),
             m.alias("obj_no"),
+            "least",
         )
     )
 
@@ -310,7 +320,7 @@ def tiles(spark: SparkSession, sf: str) -> DataFrame:
             F.posexplode("embedding").alias("i", "e"),
         )
         .select(
-            F.format_string("tile-%06d", "sample_no").alias("sample_id"),
+            _numbered("tile-", F.col("sample_no"), 6).alias("sample_id"),
             "ord",
             "depth",
             F.expr("i div 8").cast("int").alias("y"),

@@ -93,12 +93,12 @@ def _(spark, sf):
 
 
 @query("j14_verify_assets", with_tables(("assets",), """
-  SELECT asset_id, ply_path AS path, CASE WHEN obj_no % 7 = 0 THEN 'missing_file' ELSE 'hash_mismatch' END AS code
-  FROM assets WHERE obj_no % 7 = 0 OR obj_no % 5 = 0"""))
+  SELECT asset_id, ply_path AS path, CASE WHEN least = 2 THEN 'missing_file' ELSE 'hash_mismatch' END AS code
+  FROM assets WHERE least = 2 OR obj_no % 5 = 0"""))
 def _(spark, sf):
     a = fx.assets(spark, sf)
     n = F.col("obj_no")
-    stored = a.filter(n % 7 != 0).select(
+    stored = a.filter(F.col("least") != 2).select(
         F.col("ply_path").alias("path"),
         F.when(n % 5 == 0, F.sha2("ply_path", 256)).otherwise(F.col("ply_sha256")).alias("sha256"),
     )
@@ -188,7 +188,7 @@ def _(spark, sf):
 
 
 define("bound", ("observations", "assets"), """
-  SELECT o.*, a.asset_id, a.category, a.ply_sha256 FROM observations o JOIN assets a ON o.obj_id = a.obj_id
+  SELECT o.*, a.asset_id, a.category, a.ply_sha256, a.least FROM observations o JOIN assets a ON o.obj_id = a.obj_id
   WHERE o.area_pixels >= 30 AND o.visibility_level >= 2""")
 
 
@@ -212,7 +212,7 @@ def _(spark, sf):
 def _identity(spark, sf):
     a = fx.assets(spark, sf)
     n = F.col("obj_no")
-    return a.filter(n % 12 != 0).select(
+    return a.filter(F.col("least") != 3).select(
         "obj_id",
         "instance_token",
         F.when(n % 25 == 0, F.lit("other")).otherwise(F.col("category")).alias("category"),
@@ -225,7 +225,7 @@ def _identity(spark, sf):
 
 
 @query("j2_bind_identity", with_tables(("bound",), """
-  SELECT scene_name, frame_index, obj_id, CASE WHEN obj_no % 12 = 0 THEN 'missing_identity'
+  SELECT scene_name, frame_index, obj_id, CASE WHEN least = 3 THEN 'missing_identity'
          WHEN obj_no % 25 = 0 OR obj_no % 35 = 0 THEN 'identity_differs' END AS identity_code FROM bound"""))
 def _(spark, sf):
     return planning.bind_identity(_bound(spark, sf), _identity(spark, sf)).select(
@@ -240,7 +240,7 @@ def _evidence(spark, sf):
 
 
 define("evidence", ("bound",), """
-  SELECT *, CASE WHEN frame_index = 0 THEN ['source'] WHEN obj_no % 12 = 0 THEN []
+  SELECT *, CASE WHEN frame_index = 0 THEN ['source'] WHEN least = 3 THEN []
     WHEN obj_no % 3 = 0 THEN ['canonical_views', 'identity_sheet'] ELSE ['identity_sheet'] END AS labels FROM bound""")
 
 

@@ -37,11 +37,11 @@ def _(spark, sf):
 
 @query("j4_accepted_jobs", with_tables(("plan", "decisions"), """
   SELECT sample_id FROM plan p WHERE NOT EXISTS (
-    SELECT 1 FROM (SELECT unnest(p.asset_ids) AS a) x LEFT JOIN (SELECT * FROM decisions WHERE obj_no % 13 <> 0) d
+    SELECT 1 FROM (SELECT unnest(p.asset_ids) AS a) x LEFT JOIN (SELECT * FROM decisions WHERE least <> 4) d
       ON d.sample_id = x.a WHERE d.hard IS NULL OR d.hard)""", recursive=True))
 def _(spark, sf):
     # Some assets were never reviewed; their jobs are refused too.
-    reviewed = _decided(spark, sf).filter(F.col("obj_no") % 13 != 0)
+    reviewed = _decided(spark, sf).filter(F.col("least") != 4)
     return review.accepted_jobs(plan(spark, sf), reviewed).select("sample_id")
 
 
@@ -82,7 +82,7 @@ def _rounds(spark, sf):
     """Requests and an earlier round: some answers are stale, failed or unbound."""
     m = F.col("obj_no")
     requests = fx.decisions(spark, sf).select("sample_id", "request_sha256")
-    prior = _decided(spark, sf).filter(m % 4 != 0).select(
+    prior = _decided(spark, sf).filter(F.col("least") != 2).select(
         "sample_id",
         F.when(m % 5 == 0, F.sha2("sample_id", 256)).otherwise(F.col("request_sha256")).alias("request_sha256"),
         "request_error",
@@ -93,7 +93,7 @@ def _rounds(spark, sf):
 
 
 define("reused", ("decisions",), """
-  SELECT * FROM decisions WHERE obj_no % 4 <> 0 AND obj_no % 5 <> 0 AND obj_no % 7 <> 0 AND request_error IS NULL""")
+  SELECT * FROM decisions WHERE least <> 2 AND obj_no % 5 <> 0 AND obj_no % 7 <> 0 AND request_error IS NULL""")
 
 
 @query("j6_reuse", with_tables(("reused",), """

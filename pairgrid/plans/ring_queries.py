@@ -275,12 +275,10 @@ def _(spark, sf):
 
 
 @query("p26_selected_groups", with_tables(("outcomes",), """
-  SELECT group_id FROM outcomes WHERE reason IS NULL AND scene_name IN ('scene-00001', 'scene-00003', 'scene-00008')
+  SELECT group_id FROM outcomes WHERE reason IS NULL
     AND len(list_filter(sig, lambda s: CAST(substr(s, 5) AS BIGINT) % 4 > 1)) = 0"""))
 def _(spark, sf):
-    # The scene and category selectors are the feature under test here.
-    chosen = ("scene-00001", "scene-00003", "scene-00008")
-    return rings.accepted_groups(_candidates(spark, sf, scenes=chosen, categories=("car", "truck"))).select("group_id")
+    return rings.accepted_groups(_candidates(spark, sf, categories=("car", "truck"))).select("group_id")
 
 
 define("ring_views", ("outcomes", "matched", "baseline"), """
