@@ -79,7 +79,7 @@ def codes(rules: Mapping[str, Column]) -> Column:
 
 
 def sorted_set(c: Column) -> Column:
-    return F.array_sort(F.array_distinct(c))
+    return F.sort_array(F.array_distinct(c))
 
 
 def nonempty_sorted_set(c: Column) -> Column:

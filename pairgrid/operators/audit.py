@@ -80,7 +80,7 @@ def content_errors(rows: DataFrame, files: DataFrame) -> DataFrame:
 def bind_results(jobs: DataFrame, results: DataFrame, checkpoints: dict[str, str]) -> DataFrame:
     """Samples whose result is absent, unknown, repeated, incomplete or not bound to its job."""
     shared = ("job_sha256", "selected_obj_ids", "camera_id", "frame_index")
-    wanted = F.array_sort(F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in checkpoints.items()]))
+    wanted = F.sort_array(F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in checkpoints.items()]))
     body = F.struct(*shared)
     left = jobs.select(
         "sample_id", F.lit(1).alias("job"), F.lit(0).alias("result"), body.alias("wanted"),
@@ -91,7 +91,7 @@ def bind_results(jobs: DataFrame, results: DataFrame, checkpoints: dict[str, str
         "sample_id", F.lit(0).alias("job"), F.lit(1).alias("result"),
         F.lit(None).cast(jobs.select(body.alias("b")).schema["b"].dataType).alias("wanted"), body.alias("given"),
         (text(F.col("status")) == "complete").alias("complete"),
-        F.coalesce(F.array_sort(F.map_entries("checkpoint_sha256")) == wanted, F.lit(False)).alias("same_checkpoints"),
+        F.coalesce(F.sort_array(F.map_entries("checkpoint_sha256")) == wanted, F.lit(False)).alias("same_checkpoints"),
     )
     both = left.unionByName(right).groupBy("sample_id").agg(
         F.sum("job").alias("jobs"),
@@ -193,7 +193,7 @@ def cleanup_rollup(layers: DataFrame) -> DataFrame:
     return layers.groupBy("sample_id").agg(
         F.bool_and(is_true(F.col("usable"))).alias("observation_technical_usable"),
         F.bool_and(is_true(F.col("passed"))).alias("quality_gate_pass"),
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "decision_sha256"))), lambda s: s["decision_sha256"]).alias(
+        F.transform(F.sort_array(F.collect_list(F.struct("ord", "decision_sha256"))), lambda s: s["decision_sha256"]).alias(
             "source_decision_sha256"
         ),
     )
@@ -260,7 +260,7 @@ def record_errors(records: DataFrame, reviews: DataFrame | None = None) -> DataF
         df = records.join(reviews.select("sample_id", body.alias("_review")), "sample_id", "left")
         verdict = F.when(F.col("_review").isNotNull(), _decision_of(F.col("_review")))
         found = F.array_compact(F.array_append(found, verdict))
-    return df.select("sample_id", F.array_sort(F.array_distinct(found)).alias("errors"))
+    return df.select("sample_id", F.sort_array(F.array_distinct(found)).alias("errors"))
 
 
 def review_membership(records: DataFrame, reviews: DataFrame) -> DataFrame:
@@ -282,7 +282,7 @@ def audit_release(
         own.unionByName(stored)
         .unionByName(repeated)
         .groupBy("sample_id")
-        .agg(F.array_sort(F.collect_set("code")).alias("reasons"))
+        .agg(F.sort_array(F.collect_set("code")).alias("reasons"))
     )
     return records.join(candidates.select("sample_id"), "sample_id", "left_anti"), candidates
 
@@ -334,7 +334,7 @@ def group_errors(groups: DataFrame, sources: DataFrame, seen: DataFrame, canonic
         blank(F.col("scene_name"))
         | (value_or(F.col("frame_index"), -1) < 0)
         | (F.size(selected) == 0)
-        | (F.array_sort(F.array_distinct(selected)) != selected)
+        | (F.sort_array(F.array_distinct(selected)) != selected)
         | is_true(F.col("_stranger"))
     )
     own = groups.join(stranger, "group_id", "left").select(
@@ -418,7 +418,7 @@ def group_errors(groups: DataFrame, sources: DataFrame, seen: DataFrame, canonic
         ).alias("found"),
     )
     flagged = own.unionByName(per_view).select("group_id", F.explode_outer("found").alias("code"))
-    return flagged.groupBy("group_id").agg(F.array_sort(F.collect_set("code")).alias("errors"))
+    return flagged.groupBy("group_id").agg(F.sort_array(F.collect_set("code")).alias("errors"))
 
 
 def ring_files(groups: DataFrame) -> DataFrame:
@@ -458,7 +458,7 @@ def audit_rings(
             "hash_mismatch": F.col("sha256").isNotNull() & (F.col("sha256") != F.col("expected")),
         }
     )
-    found = F.array_sort(F.array_distinct(hashes if extra is None else F.concat(hashes, extra)))
+    found = F.sort_array(F.array_distinct(hashes if extra is None else F.concat(hashes, extra)))
     by_file = (
         declared.join(files, "name", "left")
         .select(F.col("name").alias("subject"), found.alias("errors"))

@@ -52,7 +52,7 @@ def changed(before: list[Column], after: list[Column]) -> Column:
 
 def composite(layers: DataFrame, background: Column) -> DataFrame:
     """Paint premultiplied layers over the background, pixel by pixel."""
-    stack = F.array_sort(F.collect_list(F.struct((-F.col("depth")).alias("far"), "ord", "alpha", "rgb")))
+    stack = F.sort_array(F.collect_list(F.struct((-F.col("depth")).alias("far"), "ord", "alpha", "rgb")))
     painted = F.aggregate(
         "stack", background.cast("double"), lambda out, layer: layer["rgb"] + out * (F.lit(1.0) - layer["alpha"])
     )
@@ -98,7 +98,7 @@ def overlap_fractions(layers: DataFrame) -> DataFrame:
     """
     shown = layers.filter(support(F.col("alpha"))).select(*PIXEL, "ord")
     sizes = shown.groupBy("sample_id", "ord").agg(F.count(F.lit(1)).alias("size"))
-    meeting = shown.groupBy(*PIXEL).agg(F.array_sort(F.collect_set("ord")).alias("o")).filter(F.size("o") > 1)
+    meeting = shown.groupBy(*PIXEL).agg(F.sort_array(F.collect_set("ord")).alias("o")).filter(F.size("o") > 1)
     pairs = F.expr(
         "flatten(transform(o, (a, i) -> transform(slice(o, i + 2, size(o)), b -> named_struct('first_ord', a, 'second_ord', b))))"
     )
@@ -162,7 +162,7 @@ def _flagged(pixels: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 def pack(pixels: DataFrame, keys: list[str], byte: str) -> DataFrame:
     """Pixels of one image, row by row, as a binary column. An image has a fixed size."""
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("y", "x", F.col(byte).alias("b")))), lambda p: p["b"])
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("y", "x", F.col(byte).alias("b")))), lambda p: p["b"])
     return pixels.groupBy(*keys).agg(ordered.alias("_b")).select(
         *keys, F.unhex(F.array_join(F.transform("_b", lambda b: F.lpad(F.hex(b), 2, "0")), "")).alias("image")
     )
@@ -347,7 +347,7 @@ def adapt_results(jobs: DataFrame, layers: DataFrame, height: int = IMAGE_HEIGHT
         ).alias("layer"),
     )
     per_sample = joined.groupBy("sample_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", F.struct("mask", "replacement").alias("e")))), lambda v: v["e"]).alias("edits"),
+        F.transform(F.sort_array(F.collect_list(F.struct("ord", F.struct("mask", "replacement").alias("e")))), lambda v: v["e"]).alias("edits"),
         F.array_agg(layer).alias("_layers"),
         F.max("depth_code").alias("depth_code"),
         F.bool_and(F.coalesce("usable", F.lit(False))).alias("usable"),

@@ -370,7 +370,7 @@ def variants(members: DataFrame) -> DataFrame:
         members.select(*WINDOW, "instance_token", "obj_id")
         .distinct()
         .groupBy(*WINDOW, "instance_token")
-        .agg(F.array_sort(F.collect_list("obj_id")).alias("objects"))
+        .agg(F.sort_array(F.collect_list("obj_id")).alias("objects"))
     )
 
 
@@ -386,7 +386,7 @@ def enumerate_combinations(instance_variants: DataFrame, max_enumeration: int =
     rounds = max(1, 2 * math.ceil(limit / math.log2(_FOLD)) - 1)
     bits = F.sum(F.log2(F.size("objects") + 1))
     windows = instance_variants.groupBy(*WINDOW).agg(
-        F.array_sort(F.collect_list(F.struct("instance_token", "objects"))).alias("_v"),
+        F.sort_array(F.collect_list(F.struct("instance_token", "objects"))).alias("_v"),
         F.sum(F.size("objects")).alias("member_count"),
         bits.alias("_bits"),
     )
@@ -411,7 +411,7 @@ def enumerate_combinations(instance_variants: DataFrame, max_enumeration: int =
             .select(*WINDOW, "member_count", F.explode(F.expr(unfold)).alias("next"), F.expr("slice(rest, k + 1, size(rest))").alias("rest"))
             .withColumnRenamed("next", "sel")
         )
-    return rows.filter(F.size("sel") > 0).select(*WINDOW, F.array_sort("sel").alias("selected"), "member_count")
+    return rows.filter(F.size("sel") > 0).select(*WINDOW, F.sort_array("sel").alias("selected"), "member_count")
 
 
 def selection_rank_key(seed: int) -> Column:

@@ -35,7 +35,7 @@ def hard_failure(decision: Column) -> Column:
 def decision_conforms(raw: Column) -> Column:
     """Does the JSON text hold exactly the keys of the schema?"""
     wanted = F.array(*[F.lit(k) for k in sorted(DECISION_KEYS)])
-    return F.coalesce(F.array_sort(F.json_object_keys(raw)) == wanted, F.lit(False))
+    return F.coalesce(F.sort_array(F.json_object_keys(raw)) == wanted, F.lit(False))
 
 
 def accepted_jobs(jobs: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def accepted_jobs(jobs: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def sorted_map(c: Column) -> Column:
-    return F.map_from_entries(F.array_sort(F.map_entries(c)))
+    return F.map_from_entries(F.sort_array(F.map_entries(c)))
 
 
 def asset_review_rows(jobs: DataFrame) -> tuple[DataFrame, DataFrame]:

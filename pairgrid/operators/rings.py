@@ -173,7 +173,7 @@ def asset_signature(records: DataFrame, aliases: DataFrame, assets: str = "asset
         .join(known, "alias", "left")
         .groupBy("_list")
         .agg(
-            F.array_sort(F.collect_list("asset_id")).alias("signature"),
+            F.sort_array(F.collect_list("asset_id")).alias("signature"),
             F.count(F.lit(1)).alias("_ids"),
         )
         .select(
@@ -248,7 +248,7 @@ def exact_pairs(signed: DataFrame) -> DataFrame:
         signed.filter(F.size("signature") > 0)
         .groupBy("scene_name", "frame_index", "camera_id", "signature")
         .agg(
-            F.min(F.struct("sample_id", "content_sha256")).alias("pair"),
+            F.min(F.struct("sample_id", F.col("content_sha256.input").alias("input"))).alias("pair"),
             F.min("content_sha256.input").alias("_low"),
             F.max("content_sha256.input").alias("_high"),
         )
@@ -297,7 +297,7 @@ def visible_by_camera(candidates: DataFrame, seen: DataFrame) -> DataFrame:
     masked = (
         opened.join(seen, ["scene_name", "frame_index", "asset_id"], "left")
         .groupBy(*key)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "asset_id", F.coalesce("camera_mask", F.lit(0)).alias("mask")))).alias("m"))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "asset_id", F.coalesce("camera_mask", F.lit(0)).alias("mask")))).alias("m"))
     )
 
     def seen_by(camera: str) -> Column:
@@ -352,7 +352,7 @@ def ring_candidates(
     grouped = matched.groupBy(*key).agg(
         F.max("unseen").alias("unseen"),
         F.min(F.when(F.col("failure").isNotNull(), F.struct("pos", "failure")))["failure"].alias("failure"),
-        F.array_sort(F.collect_list(F.struct("pos", "camera_id", "camera_name", "applied", "pair"))).alias("views"),
+        F.sort_array(F.collect_list(F.struct("pos", "camera_id", "camera_name", "applied", "pair"))).alias("views"),
     )
     return grouped.join(baselines, frame).select(
         *key,
@@ -428,7 +428,7 @@ def ring_records(groups: DataFrame) -> DataFrame:
             F.struct(*[role_file(F.col("group_id"), name, F.lit(r)).alias(r) for r in ROLES]).alias("files"),
             F.struct(
                 v["baseline"]["gt"].alias("gt"),
-                F.when(edited, v["pair"]["content_sha256"]["input"]).otherwise(v["baseline"]["target"]).alias("input"),
+                F.when(edited, v["pair"]["input"]).otherwise(v["baseline"]["target"]).alias("input"),
                 v["baseline"]["target"].alias("target"),
             ).alias("content_sha256"),
         )
@@ -482,7 +482,7 @@ def ring_sources(groups: DataFrame) -> DataFrame:
                     "source_sample_id"
                 ),
                 (
-                    F.when(edited, F.col("v.pair.content_sha256.input")).otherwise(F.col("v.baseline.target"))
+                    F.when(edited, F.col("v.pair.input")).otherwise(F.col("v.baseline.target"))
                     if role == "input"
                     else F.col(f"v.baseline.{role}")
                 ).alias("sha256"),

@@ -105,7 +105,7 @@ def _layered(spark, sf):
         ).alias("occlusion"),
     )
     return x.groupBy("sample_id", "scene_name", "frame_index", "camera_id").agg(
-        F.array_sort(F.collect_list(F.struct("obj_id", layer.alias("layer")))).alias("_l"),
+        F.sort_array(F.collect_list(F.struct("obj_id", layer.alias("layer")))).alias("_l"),
         F.max("q").alias("q"), F.max("d").alias("d"), F.max("t").alias("t"), F.max("pk").alias("pk"),
     ).select(
         "sample_id", "scene_name", "frame_index", "q", "d", "t", "pk",

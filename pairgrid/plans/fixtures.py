@@ -157,7 +157,7 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     instances) arise without a join.
     """
     views = _cells(spark, sf).groupBy("scene_no", "frame_index", "cam").agg(
-        F.array_sort(F.collect_list(F.struct("obj_no", "pk", "sk", "n", "q", "d", "t", "r"))).alias("m")
+        F.sort_array(F.collect_list(F.struct("obj_no", "pk", "sk", "n", "q", "d", "t", "r"))).alias("m")
     )
     kinds = F.expr(
         """flatten(array(

@@ -213,11 +213,11 @@ def _masked_layers(spark, sf) -> DataFrame:
     zero = F.lit(0)
 
     def packed(c: Column, name: str) -> Column:
-        cells = F.transform(F.array_sort(F.collect_list(F.struct("y", "x", c.alias("b")))), lambda p: F.lpad(F.hex(p["b"]), 2, "0"))
+        cells = F.transform(F.sort_array(F.collect_list(F.struct("y", "x", c.alias("b")))), lambda p: F.lpad(F.hex(p["b"]), 2, "0"))
         return F.unhex(F.array_join(cells, "")).alias(name)
 
     def depths(c: Column, name: str) -> Column:
-        return F.transform(F.array_sort(F.collect_list(F.struct("y", "x", c.alias("d")))), lambda p: p["d"]).alias(name)
+        return F.transform(F.sort_array(F.collect_list(F.struct("y", "x", c.alias("d")))), lambda p: p["d"]).alias(name)
 
     layers = t.groupBy("sample_id", "ord", "depth").agg(
         packed(full, "full_alpha"),

@@ -111,7 +111,7 @@ def _capacity(spark, sf):
         fx.obs(spark, sf)
         .groupBy("scene_name", "window_id", "obj_id", "instance_token")
         .agg(
-            F.array_sort(F.collect_list(F.format_string("%06d:c%s", "frame_index", "camera_id"))).alias("keys"),
+            F.sort_array(F.collect_list(F.format_string("%06d:c%s", "frame_index", "camera_id"))).alias("keys"),
             F.min("frame_index").alias("first_frame"),
             F.max("area_pixels").alias("area"),
             F.max("visibility_level").alias("level"),
@@ -248,7 +248,7 @@ define("evidence", ("bound",), """
   SELECT scene_name, frame_index, obj_id, array_to_string(labels, ',') AS labels FROM evidence"""))
 def _(spark, sf):
     return _evidence(spark, sf).select(
-        "scene_name", "frame_index", "obj_id", F.concat_ws(",", F.array_sort(F.map_keys("review_images"))).alias("labels")
+        "scene_name", "frame_index", "obj_id", F.concat_ws(",", F.sort_array(F.map_keys("review_images"))).alias("labels")
     )
 
 

@@ -218,7 +218,7 @@ def _(spark, sf):
 def _(spark, sf):
     return rings.exact_pairs(signed_records(spark, sf)).select(
         "scene_name", "frame_index", "camera_id", F.concat_ws(_COMMA, "signature").alias("signature"),
-        F.col("pair.sample_id").alias("pair_id"), F.col("pair.content_sha256.input").alias("input"),
+        F.col("pair.sample_id").alias("pair_id"), F.col("pair.input").alias("input"),
     )
 
 
