@@ -246,18 +246,18 @@ define("evidence_x9", ("hidden_labels", "depths"), f"""
 
 @query("x9_occlusion_receipts", with_tables(("evidence_x9",), """
   SELECT sample_id, ord, 5.0::DOUBLE + ord AS median_depth_m,
-         CASE WHEN selected >= least THEN full_px END AS full_projected_pixels,
-         CASE WHEN selected >= least THEN selected END AS selected_occlusion_pixels,
-         CASE WHEN selected >= least THEN hidden END AS renderer_verified_occlusion_pixels,
-         CASE WHEN selected >= least THEN hidden - selected END AS restored_asset_pixels,
-         CASE WHEN selected >= least THEN exact END AS target_exact_overlap_pixels FROM evidence_x9"""))
+         CASE WHEN selected >= least THEN full_px ELSE 0 END AS full_projected_pixels,
+         CASE WHEN selected >= least THEN selected ELSE 0 END AS selected_occlusion_pixels,
+         CASE WHEN selected >= least THEN hidden ELSE 0 END AS renderer_verified_occlusion_pixels,
+         CASE WHEN selected >= least THEN hidden - selected ELSE 0 END AS restored_asset_pixels,
+         CASE WHEN selected >= least THEN exact ELSE 0 END AS target_exact_overlap_pixels FROM evidence_x9"""))
 def _(spark, sf):
     names = (
         "full_projected_pixels", "selected_occlusion_pixels", "renderer_verified_occlusion_pixels", "restored_asset_pixels",
         "target_exact_overlap_pixels",
     )
     found = pixels.occlusion_receipts(_masked_layers(spark, sf), SIDE, SIDE)
-    return found.select("sample_id", "ord", "median_depth_m", *[F.col(n).cast("bigint").alias(n) for n in names])
+    return found.select("sample_id", "ord", "median_depth_m", *[F.coalesce(F.col(n).cast("bigint"), F.lit(0)).alias(n) for n in names])
 
 
 def _image(grey: Column) -> Column:
