@@ -54,14 +54,14 @@ def simhash(text: str, width: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id and fp of each row. ASCII capitals count as small letters; null texts have no words."""
+    """doc_id, sha (a hash of the text) and fp of each row. ASCII capitals count as small letters; null texts have no words."""
 
     @F.pandas_udf("long")
     def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([simhash(x, width, seed) for x in texts], dtype="int64")
 
-    return docs.select(F.col(doc_id).alias("doc_id"), hashed(whole_text(text)).alias("fp"))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole_text(text)).alias("sha"), hashed(whole_text(text)).alias("fp"))
 
 
 # --- thresholds -----------------------------------------------------------------------
@@ -236,6 +236,17 @@ def roots(pairs: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _rooted(fps: DataFrame, tau: int, parts: int, bucket: int) -> DataFrame:
+    """fp, root, first_id and keeper of every different fingerprint.
+
+    keeper is the smallest (id is null, id, sha) of the rows with that fingerprint.
+    """
+    keeper = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha")).alias("keeper")
+    distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"), keeper), "distinct")
+    found = roots(links(distinct.select("fp"), tau, parts, bucket))
+    return distinct.join(found, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tau: int = 2, parts: int = 3, bucket: int = 48, width: int = 3
 ) -> DataFrame:
@@ -248,15 +259,30 @@ def near_duplicates(
     An empty table gives an empty table.
     """
     fps = staged(fingerprints(docs, doc_id, text, width), "fingerprints")
-    distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    found = roots(links(distinct.select("fp"), tau, parts, bucket))
-    rooted = distinct.join(found, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(fps, tau, parts, bucket)
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = rooted.join(named, "root").select("fp", "component_id")
     shown = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return fps.join(labels, "fp").select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
+def one_of_each(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tau: int = 2, parts: int = 3, bucket: int = 48, width: int = 3
+) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each component stays.
+
+    That is the one with the smallest doc_id; null ids come last, and equal ids go by a
+    hash of the text. Of rows with the same id and text one stays. All columns stay.
+    """
+    fps = staged(fingerprints(docs, doc_id, text, width), "fingerprints")
+    best = _rooted(fps, tau, parts, bucket).groupBy("root").agg(F.min("keeper").alias("k")).select("k.doc_id", "k.sha")
+    key = lambda who: F.xxhash64(who, F.col("__sha"))
+    wanted = best.select("doc_id", F.col("sha").alias("__sha")).withColumn("__key", key(F.col("doc_id"))).select("__sha", "__key")
+    keyed = docs.withColumn("__sha", F.xxhash64(whole_text(text))).withColumn("__key", key(F.col(doc_id)))
+    kept = keyed.join(wanted, ["__sha", "__key"], "left_semi").dropDuplicates(["__sha", "__key"])
+    return kept.drop("__sha", "__key")
+
+
 @query("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint and component_id of every document."""
