@@ -5,11 +5,12 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from conftest import SF
+from pairgrid.plans.registry import QUERIES
+from pairgrid.plans.registry import SQL as TWINS
 
 TABLES = ("lineitem", "embeddings", "documents")
-QUERIES, TWINS = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
