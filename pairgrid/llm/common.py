@@ -7,6 +7,7 @@ import sys
 import types
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +75,28 @@ class EncodingCache(dict):
         return found
 
 
+class CodeCounts:
+    """How often each code was added; at most ``limit`` codes wait to be summed."""
+
+    def __init__(self, limit: int = 1 << 20):
+        self.limit, self.held, self.waiting = limit, 0, []
+        self.codes, self.n = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+
+    def add(self, codes: np.ndarray) -> None:
+        self.waiting.append(codes)
+        self.held += len(codes)
+        if self.held > self.limit:
+            self.sum_up()
+
+    def sum_up(self) -> None:
+        if self.waiting:
+            codes, n = np.unique(np.concatenate(self.waiting), return_counts=True)
+            self.codes, at = np.unique(np.concatenate([self.codes, codes]), return_inverse=True)
+            total = np.zeros(len(self.codes), dtype=np.int64)
+            np.add.at(total, at, np.concatenate([self.n, n]))
+            self.n, self.held, self.waiting = total, 0, []
+
+
 def _byte_letters() -> dict[int, str]:
     """Byte-level alphabet: printable Latin-1 bytes stand for themselves, others follow from code point 256."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairgrid.llm.common import query, table, whole_text, worker_store
+from pairgrid.llm.common import CodeCounts, query, table, whole_text, worker_store
 from pairgrid.session import staged
 
 #: Characters of a long text that are turned to n-grams at a time.
@@ -108,12 +108,12 @@ class Filters:
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, code, n) of a task's rows, summed over a batch at a time."""
     for batch in batches:
-        by: dict[str, list[np.ndarray]] = {}
+        by: dict[str, CodeCounts] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-            by.setdefault(lang, []).append(ngrams(text.as_py()))
-        for lang, found in by.items():
-            codes, n = np.unique(np.concatenate(found), return_counts=True)
-            columns = [pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(n.astype(np.int64))]
+            by.setdefault(lang, CodeCounts()).add(ngrams(text.as_py()))
+        for lang, counts in by.items():
+            counts.sum_up()
+            columns = [pa.array([lang] * len(counts.codes), pa.string()), pa.array(counts.codes), pa.array(counts.n)]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "code", "n"])
 
 

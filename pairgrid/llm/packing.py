@@ -99,7 +99,7 @@ def token_pieces(
     end_id: int,
     doc_id: str = "doc_id",
     text: str = "text",
-    cache_entries: int = 250_000,
+    cache_entries: int = 100_000,
 ) -> DataFrame:
     """Pieces of each document: doc_id, piece, start, length, ids_crc32.
 

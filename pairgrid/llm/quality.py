@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairgrid.llm.common import query, table, whole_text
+from pairgrid.llm.common import CodeCounts, query, table, whole_text
 from pairgrid.session import staged
 
 ORDER = 4
@@ -95,9 +95,12 @@ class Values:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [c for text in batch.column(0) for c in grams(text.as_py())]
-        codes, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.int64),) * 2
-        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n.astype(np.int64))], names=["code", "n"])
+        counts = CodeCounts()
+        for text in batch.column(0):
+            for codes in grams(text.as_py()):
+                counts.add(codes)
+        counts.sum_up()
+        yield pa.RecordBatch.from_arrays([pa.array(counts.codes), pa.array(counts.n)], names=["code", "n"])
 
 
 def count_grams(texts: DataFrame, text: str = "text") -> DataFrame:

@@ -87,7 +87,7 @@ def count_tokens(
     tokenizer_file: str,
     text: str = "text",
     out: str = "n_tokens",
-    cache_entries: int = 200_000,
+    cache_entries: int = 100_000,
 ) -> DataFrame:
     """``docs`` with the number of tokens of each whole text in column ``out``.
 
