@@ -206,7 +206,8 @@ def perplexities(docs: DataFrame, tables: DataFrame, symbols: int, block_chars:
     sha = F.xxhash64("text")
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", sha), F.lit(blocks)).alias("block"), "doc_id", "lang", sha.alias("sha"), "text")
     grouped = dealt.groupBy("block")
-    asked = grouped.applyInArrow(_asked, "block long, code long")
+    # Dealt out by code once, for both the different codes and the way back to the blocks.
+    asked = grouped.applyInArrow(_asked, "block long, code long").repartition("code")
     known = asked.join(log_probabilities(asked.select("code").distinct(), tables, symbols), "code").select("block", "code", "logp")
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = grouped.cogroup(known.groupBy("block")).applyInArrow(_scored, f"doc_id {kind}, lang string, sha long, logp double, n long")
