@@ -8,6 +8,7 @@ import types
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,21 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python at most ``rows`` at a time from now on in this session.
+
+    A text may be long, and Spark's own 10,000 rows of them would fill a worker.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
+def free_buffers() -> None:
+    """Give Arrow's unused memory back at the end of a task; the worker lives on."""
+    pa.default_memory_pool().release_unused()
+
+
 def worker_store(name: str) -> dict:
     """A dict that lives as long as the Python worker, so that its tasks share it.
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairgrid.llm.common import query, table, whole_text
+from pairgrid.llm.common import free_buffers, query, short_batches, table, whole_text
 
 
 @dataclass(frozen=True)
@@ -126,6 +126,7 @@ def _compared(how: Chunking):
                 held = None if is_extra else (name, text, chunks)
             columns = list(zip(*rows)) if rows else [[] for _ in _OUT]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _OUT)], schema=_OUT)
+        free_buffers()
 
     return run
 
@@ -143,6 +144,7 @@ def compare_with_next(
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. Other
     columns are ignored; an empty table gives an empty table.
     """
+    short_batches(docs.sparkSession)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     n = texts.count()
     ranges = max(1, -(-n // rows_per_range))

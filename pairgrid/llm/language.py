@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairgrid.llm.common import CodeCounts, query, table, whole_text, worker_store
+from pairgrid.llm.common import CodeCounts, free_buffers, query, short_batches, table, whole_text, worker_store
 from pairgrid.session import staged
 
 #: Characters of a long text that are turned to n-grams at a time.
@@ -105,16 +105,24 @@ class Filters:
         return self.languages[best], float(share[best] / share.sum())
 
 
+def _handed_on(by: dict[str, CodeCounts]) -> Iterator[pa.RecordBatch]:
+    for lang, counts in by.items():
+        counts.sum_up()
+        columns = [pa.array([lang] * len(counts.codes), pa.string()), pa.array(counts.codes), pa.array(counts.n)]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "code", "n"])
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, code, n) of a task's rows, summed over a batch at a time."""
+    """(lang, code, n) of a task's rows; handed on early where there are very many different codes."""
+    by: dict[str, CodeCounts] = {}
     for batch in batches:
-        by: dict[str, CodeCounts] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-            by.setdefault(lang, CodeCounts()).add(ngrams(text.as_py()))
-        for lang, counts in by.items():
-            counts.sum_up()
-            columns = [pa.array([lang] * len(counts.codes), pa.string()), pa.array(counts.codes), pa.array(counts.n)]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "code", "n"])
+            by.setdefault(lang, CodeCounts(1 << 18)).add(ngrams(text.as_py()))
+        if sum(len(c.codes) for c in by.values()) > 1 << 21:
+            yield from _handed_on(by)
+            by = {}
+    yield from _handed_on(by)
+    free_buffers()
 
 
 def train(
@@ -135,6 +143,7 @@ def train(
     the languages in which it is seen ``least`` times and whose relative frequency is at
     least ``near_best`` of that in the language where it is most frequent.
     """
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     part = F.least(F.lit(1.0), rows_per_language / F.count("*"))
@@ -178,6 +187,7 @@ def identify(docs: DataFrame, filters: Filters, text: str = "text", pred: str =
     Null texts and texts without a letter are ``und`` with score 0. All other columns
     stay, whatever their names; columns named as the two new ones are replaced.
     """
+    short_batches(docs.sparkSession)
     # Plain values: a broadcast isn't read with this package at hand.
     sent = docs.sparkSession.sparkContext.broadcast((filters.languages, filters.words, filters.rates, filters.hashes))
 
@@ -186,6 +196,7 @@ def identify(docs: DataFrame, filters: Filters, text: str = "text", pred: str =
         model = Filters(*sent.value)
         for texts in batches:
             yield pd.DataFrame([model.predict(x) for x in texts], columns=["lang", "score"])
+        free_buffers()
 
     # Deterministic and costly: kept as one column, so it runs once a row.
     both = docs.withColumn("__predicted", predicted(whole_text(text)))

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairgrid.llm.common import PLAIN, EncodingCache, PretokenEncoder, query, table, whole_text, worker_store
+from pairgrid.llm.common import PLAIN, EncodingCache, PretokenEncoder, free_buffers, query, short_batches, table, whole_text, worker_store
 from pairgrid.session import staged
 
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
@@ -129,7 +129,9 @@ def token_pieces(
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             columns = [pa.array(v, t) for v, t in zip(rows, kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        free_buffers()
 
+    short_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).mapInArrow(pieces, _PIECES)
 
 

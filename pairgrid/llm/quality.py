@@ -24,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairgrid.llm.common import CodeCounts, query, table, whole_text
+from pairgrid.llm.common import CodeCounts, free_buffers, query, short_batches, table, whole_text
 from pairgrid.session import staged
 
 ORDER = 4
 _BEGIN, _END = 2, 3
 _STRETCH = 1 << 18
+_MANY = 1 << 21
 _MASKS = {4: -1, 3: (1 << 48) - 1, 2: (1 << 32) - 1, 1: (1 << 16) - 1}
 #: Kinds of looked-up values: probability of order k is k, back-off weight of order k is 10 + k.
 _BACK = 10
@@ -94,13 +95,22 @@ class Values:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's counts; they are handed on early where there are very many different codes."""
+    counts = CodeCounts()
     for batch in batches:
-        counts = CodeCounts()
         for text in batch.column(0):
             for codes in grams(text.as_py()):
                 counts.add(codes)
-        counts.sum_up()
-        yield pa.RecordBatch.from_arrays([pa.array(counts.codes), pa.array(counts.n)], names=["code", "n"])
+        if len(counts.codes) > _MANY:
+            yield _handed_on(counts)
+            counts = CodeCounts()
+    yield _handed_on(counts)
+    free_buffers()
+
+
+def _handed_on(counts: CodeCounts) -> pa.RecordBatch:
+    counts.sum_up()
+    return pa.RecordBatch.from_arrays([pa.array(counts.codes), pa.array(counts.n)], names=["code", "n"])
 
 
 def count_grams(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -181,6 +191,7 @@ def _asked(rows: pa.Table) -> pa.Table:
         for codes in grams(text.as_py()):
             seen.add(codes)
     codes = seen.codes()
+    free_buffers()
     return pa.table({"block": pa.array(np.full(len(codes), rows.column("block")[0].as_py(), dtype=np.int64)), "code": codes})
 
 
@@ -192,6 +203,7 @@ def _scored(rows: pa.Table, known: pa.Table) -> pa.Table:
         sums.append(float(sum(p.sum() for p in parts)))
         n.append(sum(map(len, parts)))
     columns = [rows.column(c) for c in ("doc_id", "lang", "sha")]
+    free_buffers()
     return pa.table([*columns, pa.array(sums, pa.float64()), pa.array(n, pa.int64())], names=["doc_id", "lang", "sha", "logp", "n"])
 
 
@@ -250,6 +262,7 @@ def classify(
     every text that isn't empty is kept. Repeated rows are judged each. Trusted ids are
     broadcast up to ``small_ids`` of them, counted first, and joined by shuffle beyond.
     """
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).cast("string").alias("lang"), whole_text(text).alias("text"))
     ids = staged(trusted_ids.select("doc_id").where(F.col("doc_id").isNotNull()).distinct(), "trusted")
     small = ids.count() <= small_ids

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairgrid.llm.common import query, table, whole_text
+from pairgrid.llm.common import free_buffers, query, short_batches, table, whole_text
 from pairgrid.session import staged
 
 BITS = 64
@@ -60,7 +60,9 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([simhash(x, width, seed) for x in texts], dtype="int64")
+        free_buffers()
 
+    short_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole_text(text)).alias("sha"), hashed(whole_text(text)).alias("fp"))
 
 

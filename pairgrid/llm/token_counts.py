@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairgrid.llm.common import PLAIN, EncodingCache, PretokenEncoder, query, table, whole_text, worker_store
+from pairgrid.llm.common import PLAIN, EncodingCache, PretokenEncoder, free_buffers, query, short_batches, table, whole_text, worker_store
 
 #: Python's ``str.split`` takes these for white space and the tokenizer doesn't.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
@@ -112,7 +112,9 @@ def count_tokens(
         count = store[key].count
         for texts in batches:
             yield pd.Series([count(x) for x in texts], dtype="int64")
+        free_buffers()
 
+    short_batches(spark)
     return docs.withColumn(out, counted(whole_text(text)))
 
 
