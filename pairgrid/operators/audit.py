@@ -18,6 +18,7 @@ from pairgrid.functions.semantics import (
     is_hash,
     is_true,
     not_true,
+    require_empty,
     role_file,
     text,
     value_or,
@@ -230,7 +231,8 @@ def record_errors(records: DataFrame, reviews: DataFrame | None = None) -> DataF
     """Sorted distinct error codes of every record (empty when it is clean).
 
     ``record_bound`` is false only for a record whose self-hash is wrong;
-    ``decision_bound`` says so for a review.
+    ``decision_bound`` says so for a review. With a review table, a record that has
+    no row there is not clean.
     """
     layers = F.coalesce("asset_layers", F.array())
 
@@ -258,7 +260,7 @@ def record_errors(records: DataFrame, reviews: DataFrame | None = None) -> DataF
     if reviews is not None:
         body = F.struct("hard_failure", "decision", "decision_bound")
         df = records.join(reviews.select("sample_id", body.alias("_review")), "sample_id", "left")
-        verdict = F.when(F.col("_review").isNotNull(), _decision_of(F.col("_review")))
+        verdict = F.when(F.col("_review").isNull(), F.lit("visual_review_missing")).otherwise(_decision_of(F.col("_review")))
         found = F.array_compact(F.array_append(found, verdict))
     return df.select("sample_id", F.sort_array(F.array_distinct(found)).alias("errors"))
 
@@ -268,13 +270,18 @@ def review_membership(records: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def audit_release(
-    records: DataFrame, files: DataFrame, reviews: DataFrame | None = None, order: str = "sample_id"
+    records: DataFrame, files: DataFrame, reviews: DataFrame | None = None, order: str = "sample_id", strict: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Clean records, and the others with their reasons.
 
+    A record without a review is one of the others; ``strict`` raises unless records
+    and reviews have the same ids.
+
     Record rules, file checks and repeated content meet in one aggregation per
     record; only flagged rows enter it.
     """
+    if strict and reviews is not None:
+        require_empty(review_membership(records, reviews), "reviews do not match the records")
     own = record_errors(records, reviews).filter(F.size("errors") > 0).select("sample_id", F.explode("errors").alias("code"))
     stored = content_errors(content_rows(records), files).select("sample_id", "code")
     repeated = duplicate_triplets(records, order).select("sample_id", F.lit("duplicate_triplet_content").alias("code"))
@@ -485,16 +492,19 @@ def ring_audit_summary(groups: DataFrame, findings: DataFrame) -> DataFrame:
 
 
 def run_batches(
-    jobs: DataFrame, worker: Callable[[pd.DataFrame], pd.DataFrame], schema: str, max_rows: int = 512
+    jobs: DataFrame, worker: Callable[[pd.DataFrame], pd.DataFrame], schema: str, max_rows: int | None = None
 ) -> DataFrame:
-    """Hand a user's worker the jobs of one scene window at a time.
+    """Hand a user's worker the jobs of one scene window at a time, the whole window at once.
 
-    Windows of more than ``max_rows`` jobs are cut into about equal parts, so a
-    large window is spread over tasks and no batch grows with the data.
+    A worker that can take a window in parts may ask for ``max_rows``: windows of
+    more jobs are then cut into about equal parts and spread over tasks.
     """
     window = ["scene_name", "window_id"]
-    parts = jobs.groupBy(*window).agg(F.ceil(F.count(F.lit(1)) / max_rows).cast("int").alias("_parts"))
-    placed = jobs.join(parts, window).withColumn("_part", F.pmod(F.xxhash64("sample_id"), F.col("_parts")))
+    if max_rows is None:
+        placed = jobs.withColumns({"_part": F.lit(0), "_parts": F.lit(1)})
+    else:
+        parts = jobs.groupBy(*window).agg(F.ceil(F.count(F.lit(1)) / max_rows).cast("int").alias("_parts"))
+        placed = jobs.join(parts, window).withColumn("_part", F.pmod(F.xxhash64("sample_id"), F.col("_parts")))
     key = [*window, "_part"]
     columns = jobs.columns
 

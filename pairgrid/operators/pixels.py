@@ -478,7 +478,8 @@ def compose(
     """Accepted triplets and rejected results with a reason.
 
     The rule gates run first, as columns; only rows that pass them carry their
-    images into the pixel stage. The reason is the first rule broken. An id is
+    images into the pixel stage. The reason is the first rule broken; a fault that
+    :func:`adapt_results` found in ``adapter_code`` comes before all others. An id is
     taken by its first complete row in ``order``, whether or not that row passes.
     ``cleanup_bound`` and the layers' ``receipt_bound`` say whether a receipt
     carries its own hash; ``hash_code`` names a source image that differs.
@@ -488,7 +489,9 @@ def compose(
     body = F.struct(*results.columns)
     layers = F.coalesce("asset_layers", F.array())
     has_mask = F.filter(layers, lambda x: x["foreground"].isNotNull())
+    adapter = F.array_compact(F.array(F.col("adapter_code"))) if "adapter_code" in results.columns else F.array().cast("array<string>")
     ruled = F.concat(
+        adapter,
         result_violations(body, F.lit(expected_domain), F.col("cleanup_bound")),
         F.array_compact(F.array(F.col("hash_code"))),
         F.flatten(F.transform(layers, layer_violations)),

@@ -39,8 +39,9 @@ def decision_conforms(raw: Column) -> Column:
 
 
 def accepted_jobs(jobs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Jobs whose every asset has a review that is not a hard failure."""
-    passed = decisions.filter(~F.coalesce("hard_failure", F.lit(True))).select(F.col("sample_id").alias("asset_id")).distinct()
+    """Jobs whose every asset has a review, and none of whose reviews is a hard failure."""
+    good = F.bool_and(~F.coalesce("hard_failure", F.lit(True)))
+    passed = decisions.groupBy(F.col("sample_id").alias("asset_id")).agg(good.alias("_good")).filter("_good").select("asset_id")
     refused = (
         jobs.select("sample_id", F.explode("assets").alias("a"))
         .select("sample_id", "a.asset_id")

@@ -152,6 +152,14 @@ def _(spark, sf):
     return audit.record_errors(records, _reviews(records)).withColumn("errors", F.concat_ws(",", "errors"))
 
 
+@query("p24_missing_reviews", with_tables(("record_errors",), """
+  SELECT sample_id, array_to_string(CASE WHEN q <= 12 THEN list_sort(list_append(errors, 'visual_review_missing')) ELSE errors END, ',') AS errors
+  FROM record_errors"""))
+def _(spark, sf):
+    records = _layered(spark, sf)
+    return audit.record_errors(records, _reviews(records.filter("q > 12"))).withColumn("errors", F.concat_ws(",", "errors"))
+
+
 @query("j15_reviews", with_tables(("record_errors",), """
   SELECT sample_id, 'missing' AS side FROM record_errors WHERE q <= 12"""))
 def _(spark, sf):
@@ -407,10 +415,13 @@ def _(spark, sf):
 
 
 def _toy_worker(rows: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"sample_id": rows["sample_id"], "scene_name": rows["scene_name"], "window_id": rows["window_id"], "status": "complete"})
+    """One row a batch: what it was handed."""
+    ids = rows["sample_id"]
+    return rows.iloc[:1][["scene_name", "window_id"]].assign(size=len(rows), first_id=ids.min(), last_id=ids.max())
 
 
-@query("e2_run_batches", with_tables(("jobs",), "SELECT sample_id, scene_name, window_id, 'complete' AS status FROM jobs"))
+@query("e2_run_batches", with_tables(("jobs",), """
+  SELECT scene_name, window_id, count(*) AS size, min(sample_id) AS first_id, max(sample_id) AS last_id FROM jobs GROUP BY ALL"""))
 def _(spark, sf):
     jobs = single_jobs(spark, sf).select("sample_id", "scene_name", "window_id")
-    return audit.run_batches(jobs, _toy_worker, "sample_id STRING, scene_name STRING, window_id STRING, status STRING", 32)
+    return audit.run_batches(jobs, _toy_worker, "scene_name STRING, window_id STRING, size LONG, first_id STRING, last_id STRING")

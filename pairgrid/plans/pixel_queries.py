@@ -365,11 +365,12 @@ def _composed(spark, sf):
 
 _F32 = "({}::FLOAT / 255::FLOAT)"
 define("solo", ("depths", "exact_union", "evidence_x9", "hidden_labels"), f"""
-  SELECT t.sample_id || '__obj-' || t.ord AS sample_id, CAST(substr(t.sample_id, 6) AS BIGINT) AS n, t.y, t.x, u.removed,
+  SELECT t.sample_id || '__obj-' || t.ord AS sample_id, CAST(substr(t.sample_id, 6) AS BIGINT) AS n, c.layers, t.y, t.x, u.removed,
          s.seeds >= 4 AND e.selected >= e.least AND {_BYTE.format('t.alpha')} > 5 AS hidden, e.selected >= e.least AS masked,
          {_BYTE.format('t.alpha')} AS ab, {_BYTE.format('t.rgb')} AS cb
   FROM depths t JOIN exact_union u ON u.sample_id = t.sample_id AND u.y = t.y AND u.x = t.x
   JOIN evidence_x9 e ON e.sample_id = t.sample_id AND e.ord = t.ord
+  JOIN (SELECT sample_id, count(*) AS layers FROM evidence_x9 GROUP BY 1) c ON c.sample_id = t.sample_id
   LEFT JOIN hidden_labels l ON l.sample_id = t.sample_id AND l.ord = t.ord AND l.i = t.i
   LEFT JOIN (SELECT l.sample_id, l.ord, l.root, count_if(p.front) AS seeds FROM hidden_labels l JOIN depths p
                ON p.sample_id = l.sample_id AND p.ord = l.ord AND p.i = l.i GROUP BY ALL) s
@@ -382,13 +383,13 @@ define("solo_painted", ("solo",), f"""
            * (1::FLOAT - CASE WHEN coalesce(hidden, false) THEN 0::FLOAT ELSE {_F32.format('ab')} END) AS v FROM solo""")
 
 define("solo_outcome", ("solo_painted",), f"""
-  SELECT sample_id, CASE WHEN n % 11 = 0 THEN 'invalid_cleanup_receipt' WHEN n % 7 = 0 THEN 'geometry_candidate'
+  SELECT sample_id, CASE WHEN n % 13 = 0 AND layers > 1 THEN 'backgrounds_differ' WHEN n % 11 = 0 THEN 'invalid_cleanup_receipt' WHEN n % 7 = 0 THEN 'geometry_candidate'
          WHEN count_if(removed) < 20 THEN 'removal_ineffective'
          WHEN count_if(ab > 5 AND NOT coalesce(hidden, false)) < 20 OR count_if(ab > 5 AND NOT coalesce(hidden, false)) = 0 THEN 'not_materially_visible'
          WHEN count_if(v <> {_F32.format('bg')}) < 20 THEN 'insertion_ineffective' END AS reason,
          sha256(unhex(string_agg(repeat(printf('%02x', CAST(round_even(least(255::FLOAT, greatest(0::FLOAT, v * 255::FLOAT)), 0) AS INT)), 3), ''
            ORDER BY y, x))) AS input_sha256
-  FROM solo_painted GROUP BY sample_id, n""")
+  FROM solo_painted GROUP BY sample_id, n, layers""")
 
 
 @query("g7_compose_accepted", with_tables(("solo_outcome",), "SELECT sample_id, input_sha256 FROM solo_outcome WHERE reason IS NULL"))

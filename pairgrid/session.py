@@ -25,6 +25,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below the shared folder named in ``spark.checkpoint.dir``.
 
@@ -35,8 +38,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # The setting can't be changed in a running session, so the folder is remembered here.
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.get(app) or _LOCAL_ROOTS.setdefault(app, tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

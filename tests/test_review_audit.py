@@ -55,6 +55,8 @@ def test_windows_stay_together_and_large_ones_are_cut(spark):
     def worker(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"window_id": rows["window_id"], "distinct": rows["window_id"].nunique(), "size": len(rows)})
 
+    whole = audit.run_batches(jobs, worker, "window_id STRING, distinct LONG, size LONG").toPandas()
+    assert len(whole) == 1000 and (whole["distinct"] == 1).all() and (whole.loc[whole.window_id == "hot", "size"] == 700).all()
     out = audit.run_batches(jobs, worker, "window_id STRING, distinct LONG, size LONG", 100).toPandas()
     assert len(out) == 1000 and (out["distinct"] == 1).all()
     assert out.loc[out.window_id == "hot", "size"].max() < 250
