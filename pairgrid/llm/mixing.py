@@ -39,7 +39,7 @@ class Target:
     repetition: float | None = 4.0
     budget: int | None = None
     block_tokens: int = 1 << 20
-    range_rows: int = 20_000
+    range_rows: int = 2_000
     seed: int = 7
 
 
