@@ -90,18 +90,12 @@ def manifest_digest(df: DataFrame, fields: list[str]) -> DataFrame:
     Row hashes are summed as four 60-bit lanes, so the partial sums combine on
     the map side and no task ever holds more than one running total.
     """
+    lanes = ["row_count", *[F.coalesce(F.col(f"lane{i}"), F.lit(0)).cast("string") for i in range(4)]]
+    return df.agg(*digest_lanes(fields)).select("row_count", sha(F.concat_ws("|", *lanes)).alias("digest"))
+
+
+def digest_lanes(fields: list[str]) -> list[Column]:
+    """Aggregates that fix a table's rows: row_count, and lane0 to lane3."""
     row = sha(F.concat_ws("\x1f", *[F.coalesce(F.col(f).cast("string"), F.lit("\x1e")) for f in fields]))
-    lanes = [
-        F.sum(F.conv(F.substring("h", 1 + 15 * i, 15), 16, 10).cast("decimal(28,0)")).alias(f"lane{i}")
-        for i in range(4)
-    ]
-    return (
-        df.select(row.alias("h"))
-        .agg(F.count(F.lit(1)).alias("row_count"), *lanes)
-        .select(
-            "row_count",
-            sha(F.concat_ws("|", "row_count", *[F.coalesce(F.col(f"lane{i}"), F.lit(0)).cast("string") for i in range(4)])).alias(
-                "digest"
-            ),
-        )
-    )
+    lane = lambda i: F.conv(F.substring(row, 1 + 15 * i, 15), 16, 10).cast("decimal(28,0)")
+    return [F.count(F.lit(1)).alias("row_count"), *[F.sum(lane(i)).alias(f"lane{i}") for i in range(4)]]

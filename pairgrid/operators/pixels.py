@@ -199,9 +199,9 @@ def components(masks: DataFrame, height: int = IMAGE_HEIGHT, width: int = IMAGE_
             found = []
             for row in batch.itertuples(index=False):
                 labels = arrays.label_components(np.frombuffer(row.mask, np.uint8).reshape(height, width) > 0).ravel()
-                sizes = np.bincount(labels)
-                for i in range(1, sizes.size):
-                    found.append([*(getattr(row, k) for k in keys), i, int(sizes[i]), int(np.argmax(labels == i))])
+                for i, first, size in zip(*np.unique(labels, return_index=True, return_counts=True)):
+                    if i:
+                        found.append([*(getattr(row, k) for k in keys), int(i), int(size), int(first)])
             yield pd.DataFrame(found, columns=[*keys, "component_index", "component_pixels", "first_pixel"])
 
     return masks.mapInPandas(run, schema + ", component_index INT, component_pixels INT, first_pixel INT")
@@ -227,8 +227,8 @@ def occlusion_receipts(layers: DataFrame, height: int = IMAGE_HEIGHT, width: int
 
     ``layers`` has ``sample_id``, ``ord``, the byte masks ``full_alpha``,
     ``visible_alpha`` and ``exact_alpha``, and the float64 depth maps
-    ``scene_depth`` and ``asset_depth``. ``depth_code`` tells maps of a wrong
-    shape and layers without any positive finite depth.
+    ``scene_depth`` and ``asset_depth``. ``depth_code`` tells layers without any
+    positive finite depth and, where pixels are hidden, maps of a wrong shape.
     """
 
     def one(row) -> dict:
@@ -238,11 +238,14 @@ def occlusion_receipts(layers: DataFrame, height: int = IMAGE_HEIGHT, width: int
             for m in (row.full_alpha, row.visible_alpha, row.exact_alpha)
         )
         scene, asset = (np.frombuffer(d, np.float64) for d in (row.scene_depth, row.asset_depth))
-        if scene.size != full.size or asset.size != full.size:
+        hidden = (full & ~visible).any()
+        if hidden and (scene.size != full.size or asset.size != full.size):
             return out | {"depth_code": "depth_shape_differs"}
         out["median_depth_m"] = arrays.median_depth(asset)
         if out["median_depth_m"] is None:
             return out | {"depth_code": "no_positive_depth"}
+        if not hidden:
+            return out
         shape = (height, width)
         return out | (arrays.occlusion_evidence(full, visible, exact, scene.reshape(shape), asset.reshape(shape)) or {})
 

@@ -374,30 +374,31 @@ def variants(members: DataFrame) -> DataFrame:
     )
 
 
-def enumerate_combinations(instance_variants: DataFrame, max_enumeration: int = 1 << 24) -> DataFrame:
+def enumerate_combinations(instance_variants: DataFrame, max_enumeration: int | None = None) -> DataFrame:
     """All selections of a window: none or one variant per instance, not all none.
 
-    Each window's choices stay in one row and are unfolded a bounded step at a
-    time, so no row ever holds more than 4096 selections. A window with more
-    than ``max_enumeration`` selections fails the job by name: the product is
-    exponential and leaving some out would change the result.
+    Each window's choices are unfolded a bounded step at a time, so no row ever
+    holds more than 4096 selections. After the first step the partial selections
+    of large windows are dealt out, so one window keeps many tasks busy. The
+    largest window decides how many steps there are, which takes one pass over
+    the windows. Nothing is left out; a caller that wants a window of more than
+    ``max_enumeration`` selections to fail by name can say so.
     """
-    limit = math.log2(max_enumeration)
-    rounds = max(1, 2 * math.ceil(limit / math.log2(_FOLD)) - 1)
     bits = F.sum(F.log2(F.size("objects") + 1))
     windows = instance_variants.groupBy(*WINDOW).agg(
         F.sort_array(F.collect_list(F.struct("instance_token", "objects"))).alias("_v"),
         F.sum(F.size("objects")).alias("member_count"),
         bits.alias("_bits"),
     )
-    rows = windows.select(
-        *WINDOW,
-        "member_count",
-        F.array().cast("array<string>").alias("sel"),
-        F.when(F.col("_bits") <= limit + 1e-9, F.transform("_v", lambda v: v["objects"]))
-        .otherwise(F.raise_error(F.concat(F.lit("too many combinations in "), F.concat_ws(":", *WINDOW))))
-        .alias("rest"),
-    )
+    choices = F.transform("_v", lambda v: v["objects"])
+    if max_enumeration is not None:
+        error = F.raise_error(F.concat(F.lit("too many combinations in "), F.concat_ws(":", *WINDOW)))
+        choices = F.when(F.col("_bits") <= math.log2(max_enumeration) + 1e-9, choices).otherwise(error)
+    windows = staged(windows.select(*WINDOW, "member_count", "_bits", choices.alias("rest")), "windows")
+    # Two steps in a row unfold more than _FOLD, or the window ends.
+    most = windows.agg(F.max("_bits")).first()[0] or 0.0
+    rounds = max(1, 2 * math.ceil((most + 1e-9) / math.log2(_FOLD)) - 1)
+    rows = windows.select(*WINDOW, "member_count", F.array().cast("array<string>").alias("sel"), "rest")
     # How many leading instances fit one step (at least one while any is left).
     step = f"""aggregate(rest, named_struct('p', 1D, 'k', 0),
         (a, v) -> if(a.p * (size(v) + 1) <= {_FOLD} or a.k = 0,
@@ -405,7 +406,9 @@ def enumerate_combinations(instance_variants: DataFrame, max_enumeration: int =
                      named_struct('p', double('Infinity'), 'k', a.k)), a -> a.k)"""
     unfold = """aggregate(slice(rest, 1, k), array(sel), (acc, vs) ->
         concat(acc, flatten(transform(acc, a -> transform(vs, v -> concat(a, array(v)))))))"""
-    for _ in range(rounds):
+    for done in range(rounds):
+        if done == 1:
+            rows = rows.repartition(*WINDOW, "sel")
         rows = (
             rows.withColumn("k", F.expr(step))
             .select(*WINDOW, "member_count", F.explode(F.expr(unfold)).alias("next"), F.expr("slice(rest, k + 1, size(rest))").alias("rest"))
@@ -441,7 +444,7 @@ def cap_combinations(combinations: DataFrame, cap: int, seed: int) -> DataFrame:
     return ranked.filter((F.col("_rank") <= cap) & (F.col("_rank") <= cap - F.col("member_count"))).drop("_key", "_rank")
 
 
-def window_selections(instance_variants: DataFrame, cap: int, seed: int, max_enumeration: int = 1 << 24) -> DataFrame:
+def window_selections(instance_variants: DataFrame, cap: int, seed: int, max_enumeration: int | None = None) -> DataFrame:
     """Singles, always kept, and the capped combinations of two or more."""
     singles = instance_variants.select(*WINDOW, F.explode("objects").alias("o")).select(*WINDOW, F.array("o").alias("selected"))
     combos = enumerate_combinations(instance_variants, max_enumeration).filter(F.size("selected") > 1)
@@ -505,12 +508,19 @@ def build_plan(
     cap: int = 256,
     seed: int = 20260818,
     strict: bool = True,
+    max_enumeration: int | None = None,
 ) -> DataFrame:
     """All jobs of a plan: single-asset ones and combinations.
 
     The single-asset jobs are read by several steps and therefore written once.
-    Strict mode checks the plan and raises on the first kind of violation found.
+    Strict mode checks the plan and raises on the first kind of violation found:
+    an asset or identity row repeated for one object would multiply observations,
+    and every job needs an id of its own.
     """
+    if strict:
+        require_empty(key_violations(assets, ["obj_id"]), "an object has no id or several assets")
+        if identity is not None:
+            require_empty(key_violations(identity, ["obj_id"]), "an object has no id or several identity rows")
     bound = bind_assets(eligible_observations(observations, min_area, min_visibility), assets)
     if identity is not None:
         bound = bind_identity(bound, identity)
@@ -527,8 +537,13 @@ def build_plan(
         require_empty(duplicate_observations(singles), "duplicate observation")
         require_empty(window_binding_conflicts(singles), "binding changes within a window")
     members = singles.select(*WINDOW, F.get("assets", F.lit(0))["instance_token"].alias("instance_token"), "obj_id")
-    picked = window_selections(variants(members), cap, seed).filter(F.size("selected") > 1)
-    return singles.unionByName(combination_jobs(project_combinations(picked, singles)))
+    picked = window_selections(variants(members), cap, seed, max_enumeration).filter(F.size("selected") > 1)
+    combined = combination_jobs(project_combinations(picked, singles))
+    if not strict:
+        return singles.unionByName(combined)
+    jobs = singles.unionByName(staged(combined, "combinations"))
+    require_empty(key_violations(jobs, ["sample_id"]), "a job has no id or one that another has")
+    return jobs
 
 
 def ordered_jobs(jobs: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 import pandas as pd
@@ -125,33 +126,34 @@ def reuse_decisions(requests: DataFrame, prior: DataFrame) -> tuple[DataFrame, D
     return reused, pending
 
 
-def score(pending: DataFrame, scorer: Callable[[dict[str, Any]], dict[str, Any]]) -> DataFrame:
+def score(pending: DataFrame, scorer: Callable[[dict[str, Any]], dict[str, Any]], in_flight: int = 8) -> DataFrame:
     """Run a user's scorer over request rows, a batch at a time, and bind its decisions.
 
+    Each task has up to ``in_flight`` calls open at once, as a scorer mostly waits for
+    an answer; it must bear calls from several threads, or ``in_flight`` be 1.
     A scorer that raises, or answers with other keys than the schema's, gives
     an ``unverifiable`` decision and the error text.
     """
     columns = pending.columns
 
+    def ask(values: tuple) -> tuple[str | None, str | None]:
+        try:
+            return json.dumps(scorer(dict(zip(columns, values)))), None
+        except Exception as error:  # user code: any failure is data here
+            return None, f"{type(error).__name__}: {error}"
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            answers: list[str | None] = []
-            errors: list[str | None] = []
-            for values in batch.itertuples(index=False, name=None):
-                try:
-                    answers.append(json.dumps(scorer(dict(zip(columns, values)))))
-                    errors.append(None)
-                except Exception as error:  # user code: any failure is data here
-                    answers.append(None)
-                    errors.append(f"{type(error).__name__}: {error}")
-            yield pd.DataFrame(
-                {
-                    "sample_id": batch["sample_id"],
-                    "request_sha256": batch["request_sha256"],
-                    "raw": pd.Series(answers, index=batch.index, dtype=object),
-                    "request_error": pd.Series(errors, index=batch.index, dtype=object),
-                }
-            )
+        with ThreadPoolExecutor(in_flight) as pool:
+            for batch in batches:
+                answers = list(pool.map(ask, batch.itertuples(index=False, name=None)))
+                yield pd.DataFrame(
+                    {
+                        "sample_id": batch["sample_id"],
+                        "request_sha256": batch["request_sha256"],
+                        "raw": pd.Series([a for a, _ in answers], index=batch.index, dtype=object),
+                        "request_error": pd.Series([e for _, e in answers], index=batch.index, dtype=object),
+                    }
+                )
 
     scored = pending.mapInPandas(run, "sample_id STRING, request_sha256 STRING, raw STRING, request_error STRING")
     conforms = decision_conforms(F.col("raw"))
