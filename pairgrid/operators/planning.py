@@ -408,7 +408,9 @@ def enumerate_combinations(instance_variants: DataFrame, max_enumeration: int |
         concat(acc, flatten(transform(acc, a -> transform(vs, v -> concat(a, array(v)))))))"""
     for done in range(rounds):
         if done == 1:
-            rows = rows.repartition(*WINDOW, "sel")
+            # A stated number, as adaptive execution would coalesce rows that are few until unfolded.
+            parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            rows = rows.repartition(parts, *WINDOW, "sel")
         rows = (
             rows.withColumn("k", F.expr(step))
             .select(*WINDOW, "member_count", F.explode(F.expr(unfold)).alias("next"), F.expr("slice(rest, k + 1, size(rest))").alias("rest"))

@@ -73,6 +73,19 @@ def test_a_window_beyond_the_bound_fails_by_name(spark):
         planning.enumerate_combinations(variants, 512).count()
 
 
+def test_a_large_window_is_unfolded_on_several_tasks(spark):
+    df = members(spark, [(f"i{k:02}", f"o{k:02}") for k in range(14)])
+    found = planning.enumerate_combinations(df)
+    assert found.count() == found.distinct().count() == 2**14 - 1
+    assert found.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_strict_plan_refuses_repeated_bindings(spark):
+    twice = two_assets(spark).unionByName(two_assets(spark).limit(1))
+    with pytest.raises(ValueError, match="several assets"):
+        planning.build_plan(two_observations(spark), twice)
+
+
 def test_plan_counts_cameras_and_combinations(spark):
     jobs = planning.build_plan(two_observations(spark), two_assets(spark)).cache()
     summary = planning.plan_summary(jobs).first()

@@ -46,6 +46,21 @@ def test_scorer_failures_are_decisions(spark):
     assert not got["s3"].hard_failure
 
 
+def test_two_calls_are_open_at_once(spark):
+    import threading
+
+    def meeting(row):
+        # Breaks unless a second call arrives while the first waits.
+        import sys
+
+        gate = sys.modules.setdefault("_review_gate", threading.Barrier(2))
+        gate.wait(timeout=20)
+        return GOOD
+
+    scored = review.score(requests(spark).coalesce(1), meeting, in_flight=2)
+    assert scored.filter("hard_failure").count() == 0
+
+
 def test_windows_stay_together_and_large_ones_are_cut(spark):
     jobs = spark.range(1000).select(
         F.format_string("j%04d", "id").alias("sample_id"), F.lit("s").alias("scene_name"),
