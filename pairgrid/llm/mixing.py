@@ -111,37 +111,38 @@ def mix(docs: DataFrame, target: Target = Target(), doc_id: str = "doc_id", sour
     blocks in order, and a block by mix_order, gives the stream. A row is taken where its
     first token lies within its source's quota. A null source is the empty string. Rows
     without tokens take part where their source has some; a source without any has
-    weight 0. Repeated ids are rows of their own. All columns stay; those named
-    mix_* are replaced. An empty table gives an empty table.
+    weight 0. Repeated ids are rows of their own. All columns stay; those named as the four
+    new ones are replaced. An empty table gives an empty table.
     """
     key = F.md5(F.concat_ws("/", F.lit(str(target.seed)), F.col(doc_id).cast("string")))
-    rows = docs.withColumns({"mix_source": F.coalesce(F.col(source).cast("string"), F.lit("")), "mix_tokens": words() if tokens is None else tokens, "mix_key": key})
-    sizes = staged(rows.groupBy(F.col("mix_source").alias("source")).agg(F.count("*").alias("rows"), F.sum("mix_tokens").alias("tokens")), "sources")
+    rows = docs.withColumns({"__mix_source": F.coalesce(F.col(source).cast("string"), F.lit("")), "mix_tokens": words() if tokens is None else tokens, "__mix_key": key})
+    sizes = staged(rows.groupBy(F.col("__mix_source").alias("source")).agg(F.count("*").alias("rows"), F.sum("mix_tokens").alias("tokens")), "sources")
     plan = staged(weights(sizes, target), "weights")
     budget = plan.agg(F.sum("quota")).first()[0] or 0
     blocks = max(1, -(-budget // target.block_tokens))
     info = plan.select(
-        F.col("source").alias("mix_source"),
-        F.col("tokens").alias("mix_all"),
-        F.col("quota").alias("mix_quota"),
-        F.ceil(F.col("rows") / target.range_rows).cast("long").alias("mix_ranges"),
+        F.col("source").alias("__mix_source"),
+        F.col("tokens").alias("__mix_all"),
+        F.col("quota").alias("__mix_quota"),
+        F.ceil(F.col("rows") / target.range_rows).cast("long").alias("__mix_ranges"),
     )
-    place = F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("long")
-    ranged = rows.join(info, "mix_source").withColumn("mix_range", F.shiftright(place * F.col("mix_ranges"), 32))
+    place = F.conv(F.substring("__mix_key", 1, 8), 16, 10).cast("long")
+    ranged = rows.join(info, "__mix_source").withColumn("__mix_range", F.shiftright(place * F.col("__mix_ranges"), 32))
     # Totals come from the narrow columns; the rows themselves move once, to their range.
-    totals = ranged.groupBy("mix_source", "mix_range").agg(F.sum("mix_tokens").alias("mix_sum"))
-    before = Window.partitionBy("mix_source").orderBy("mix_range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = staged(totals.select("mix_source", "mix_range", F.coalesce(F.sum("mix_sum").over(before), F.lit(0)).alias("mix_base")), "ranges")
-    inside = Window.partitionBy("mix_source", "mix_range").orderBy("mix_key", doc_id).rowsBetween(Window.unboundedPreceding, 0)
+    totals = ranged.groupBy("__mix_source", "__mix_range").agg(F.sum("mix_tokens").alias("__mix_sum"))
+    before = Window.partitionBy("__mix_source").orderBy("__mix_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = staged(totals.select("__mix_source", "__mix_range", F.coalesce(F.sum("__mix_sum").over(before), F.lit(0)).alias("__mix_base")), "ranges")
+    inside = Window.partitionBy("__mix_source", "__mix_range").orderBy("__mix_key", doc_id).rowsBetween(Window.unboundedPreceding, 0)
     run = F.sum("mix_tokens").over(inside) - F.col("mix_tokens")
-    at = ranged.withColumn("mix_start", run).join(bases, ["mix_source", "mix_range"])
-    start = F.col("mix_base") + F.col("mix_start")
-    copies = F.ceil((F.col("mix_quota") - start) / F.col("mix_all")).cast("int")
-    taken = at.where(start < F.col("mix_quota")).withColumn("mix_copy", F.explode(F.sequence(F.lit(0), copies - 1)))
-    offset = start + F.col("mix_copy") * F.col("mix_all")
-    block = F.least(F.floor(offset / (F.col("mix_quota") / F.lit(float(blocks)))).cast("long"), F.lit(blocks - 1).cast("long"))
-    out = taken.withColumns({"mix_block": block, "mix_order": F.md5(F.concat_ws("/", "mix_key", F.col("mix_copy").cast("string")))})
-    return out.select(*[c for c in docs.columns if not c.startswith("mix_")], "mix_tokens", "mix_copy", "mix_block", "mix_order")
+    at = ranged.withColumn("__mix_start", run).join(bases, ["__mix_source", "__mix_range"])
+    start = F.col("__mix_base") + F.col("__mix_start")
+    copies = F.ceil((F.col("__mix_quota") - start) / F.col("__mix_all")).cast("int")
+    taken = at.where(start < F.col("__mix_quota")).withColumn("mix_copy", F.explode(F.sequence(F.lit(0), copies - 1)))
+    offset = start + F.col("mix_copy") * F.col("__mix_all")
+    block = F.least(F.floor(offset / (F.col("__mix_quota") / F.lit(float(blocks)))).cast("long"), F.lit(blocks - 1).cast("long"))
+    new = ["mix_tokens", "mix_copy", "mix_block", "mix_order"]
+    out = taken.withColumns({"mix_block": block, "mix_order": F.md5(F.concat_ws("/", "__mix_key", F.col("mix_copy").cast("string")))})
+    return out.select(*[c for c in docs.columns if c not in new], *new)
 
 
 OP7_SQL = r"""

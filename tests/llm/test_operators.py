@@ -270,7 +270,7 @@ def test_mixing(spark):
         taken[r.source or ""] += r.mix_tokens
     for source, weight in q.items():
         assert abs(taken[source] - weight * total) <= 7 + total / 1000
-    assert taken["none"] == 0
+    assert taken["none"] == 0 and {r.mix_note for r in out} == {"x"}
     assert max(r.mix_copy for r in out) <= 3
     blocks = Counter()
     for r in out:
