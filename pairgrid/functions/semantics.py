@@ -139,8 +139,10 @@ def to_byte(c: Column) -> Column:
     return F.rint(F.least(F.lit(255.0), F.greatest(F.lit(0.0), c * 255.0))).cast("int")
 
 
-def utc_stamp() -> Column:
-    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyyMMdd'T'HHmmss'Z'")
+def utc_stamp(at: Column | None = None, fraction: bool = False) -> Column:
+    """An instant (now, where none is given) as a UTC stamp, with microseconds if asked for."""
+    now = F.current_timestamp() if at is None else at
+    return F.date_format(F.to_utc_timestamp(now, F.current_timezone()), f"yyyyMMdd'T'HHmmss{'SSSSSS' if fraction else ''}'Z'")
 
 
 def camera_bit(camera: Column) -> Column:

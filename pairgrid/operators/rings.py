@@ -162,12 +162,18 @@ def asset_signature(records: DataFrame, aliases: DataFrame, assets: str = "asset
     """Add ``signature``: the sorted canonical ids of ``assets``.
 
     One id without a canonical empties the whole signature. Two aliases of one
-    asset both count. Aliases are looked up once per distinct asset list, so a
+    asset both count. An alias that several assets claim stops the job by name;
+    :func:`alias_conflicts` lists them all. Aliases are looked up once per distinct asset list, so a
     list shared by many records is resolved once; the join back carries one row
     per list, which adaptive execution can split or broadcast by its size.
     """
     lists = records.select(nonempty_sorted_set(F.col(assets)).alias("_list")).distinct()
-    known = aliases.groupBy("alias").agg(F.min("asset_id").alias("asset_id"))
+    unclear = F.raise_error(F.concat(F.lit("alias of several assets: "), F.col("alias")))
+    known = (
+        aliases.groupBy("alias")
+        .agg(F.min("asset_id").alias("asset_id"), F.max("asset_id").alias("_other"))
+        .select("alias", F.when(F.col("asset_id") == F.col("_other"), F.col("asset_id")).otherwise(unclear).alias("asset_id"))
+    )
     resolved = (
         lists.select("_list", F.explode("_list").alias("alias"))
         .join(known, "alias", "left")

@@ -168,6 +168,26 @@ def _(spark, sf):
     return pixels.pack(bytes_, ["sample_id", "ord"], "byte").select("sample_id", "ord", F.sha2("image", 256).alias("content_sha256"))
 
 
+@query("x1_pixels", with_tables(("tiles",), f"""
+  SELECT sample_id || '/' || ord AS path, 8 AS width, 8 AS height, 3 AS channels,
+         sha256(unhex(string_agg(printf('%02x%02x%02x', {_BYTE.format('rgb')}, {_BYTE.format('e')}, {_BYTE.format('alpha')}), '' ORDER BY y, x)))
+           AS pixels_sha256
+  FROM tiles GROUP BY sample_id, ord"""))
+def _(spark, sf):
+    # As the image source stores them: blue, green and red of a pixel side by side.
+    channels = F.array(*[to_byte(F.col(c)) for c in ("alpha", "e", "rgb")])
+    stored = fx.tiles(spark, sf).select("sample_id", "ord", "y", "x", F.posexplode(channels).alias("channel", "byte"))
+    stored = stored.withColumn("x", F.col("x") * 3 + F.col("channel"))
+    images = pixels.pack(stored, ["sample_id", "ord"], "byte").select(
+        F.concat_ws("/", "sample_id", "ord").alias("path"),
+        F.lit(SIDE).alias("width"),
+        F.lit(SIDE).alias("height"),
+        F.lit(3).alias("channels"),
+        F.col("image").alias("data"),
+    )
+    return pixels.decode_pixels(images).select("path", "width", "height", "channels", F.sha2("pixels", 256).alias("pixels_sha256"))
+
+
 @query("f11_to_byte", with_tables(("tiles",), f"SELECT sample_id, ord, y, x, {_BYTE.format('e')} AS byte FROM tiles"))
 def _(spark, sf):
     return fx.tiles(spark, sf).select(*_PIXEL, to_byte(F.col("e")).alias("byte"))

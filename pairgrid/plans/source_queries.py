@@ -127,6 +127,13 @@ def _(spark, sf):
     return spark.read.text(path)
 
 
+@query("f14_utc_stamp", """
+  SELECT event_id, strftime(make_timestamp(event_id * 86413000000), '%Y%m%dT%H%M%SZ') AS stamp FROM events""")
+def _(spark, sf):
+    instant = F.timestamp_seconds(F.col("event_id") * 86413)
+    return spark.read.parquet(f"{sf}/events.parquet").select("event_id", sem.utc_stamp(instant).alias("stamp"))
+
+
 @query("s10_publish", with_tables(("records",), "SELECT sample_id, gt, input, target FROM records WHERE q < 50"))
 def _(spark, sf):
     dest = scratch_path(spark, "published")

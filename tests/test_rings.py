@@ -97,6 +97,8 @@ def test_signatures(spark):
     df = spark.createDataFrame(rows, "sample_id STRING, assets ARRAY<STRING>")
     got = {r.sample_id: r.signature for r in rings.asset_signature(df, aliases).collect()}
     assert got == {"r1": ["one", "two"], "r2": ["one", "one"], "r3": [], "r4": [], "r5": [], "r6": []}
+    with pytest.raises(Exception, match="alias of several assets: a"):
+        rings.asset_signature(df, aliases.unionAll(aliases.selectExpr("alias", "'other'").where("alias = 'a'"))).collect()
 
 
 def test_an_empty_layer_list_hides_the_assets(spark):

@@ -10,7 +10,7 @@ from conftest import SF
 from pairgrid.plans.registry import QUERIES
 from pairgrid.plans.registry import SQL as TWINS
 
-TABLES = ("lineitem", "embeddings", "documents")
+TABLES = ("lineitem", "embeddings", "documents", "events")
 
 
 @pytest.fixture(scope="module")
