@@ -86,9 +86,13 @@ class Filters:
         The score is the winner's corrected share of hits over the sum of all
         languages' shares. Equal shares go to the first language in order.
         """
+        return self.judge(text)[:2]
+
+    def judge(self, text: str) -> tuple[str, float, float]:
+        """Language, score and the winner's own corrected hits an n-gram, which no other language changes."""
         codes = ngrams(text)
         if not len(codes) or not self.languages:
-            return "und", 0.0
+            return "und", 0.0, 0.0
         hits = np.zeros(len(self.languages))
         for begin in range(0, len(codes), _STRETCH):
             at = slots_of(codes[begin : begin + _STRETCH], self.hashes, self.words.shape[1])
@@ -100,9 +104,9 @@ class Filters:
                     hits[k] += np.count_nonzero(found & np.uint64(1 << (k % 64)))
         share = np.maximum((hits / len(codes) - self.rates) / np.maximum(1 - self.rates, 1e-9), 0)
         if not share.any():
-            return self.languages[int(np.argmax(hits))], 0.0
+            return self.languages[int(np.argmax(hits))], 0.0, 0.0
         best = int(np.argmax(share))
-        return self.languages[best], float(share[best] / share.sum())
+        return self.languages[best], float(share[best] / share.sum()), float(share[best])
 
 
 def _handed_on(by: dict[str, CodeCounts]) -> Iterator[pa.RecordBatch]:
@@ -181,8 +185,10 @@ def train(
     return Filters(languages, filled, np.array(load) ** hashes, hashes)
 
 
-def identify(docs: DataFrame, filters: Filters, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with predicted language and score of each whole text.
+def identify(
+    docs: DataFrame, filters: Filters, text: str = "text", pred: str = "lang_pred", score: str = "score", hits: str | None = None
+) -> DataFrame:
+    """``docs`` with predicted language and score of each whole text, and where ``hits`` names a column the winner's hits an n-gram.
 
     Null texts and texts without a letter are ``und`` with score 0. All other columns
     stay, whatever their names; columns named as the two new ones are replaced.
@@ -191,16 +197,31 @@ def identify(docs: DataFrame, filters: Filters, text: str = "text", pred: str =
     # Plain values: a broadcast isn't read with this package at hand.
     sent = docs.sparkSession.sparkContext.broadcast((filters.languages, filters.words, filters.rates, filters.hashes))
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, hits double")
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = Filters(*sent.value)
         for texts in batches:
-            yield pd.DataFrame([model.predict(x) for x in texts], columns=["lang", "score"])
+            yield pd.DataFrame([model.judge(x) for x in texts], columns=["lang", "score", "hits"])
         free_buffers()
 
     # Deterministic and costly: kept as one column, so it runs once a row.
     both = docs.withColumn("__predicted", predicted(whole_text(text)))
-    return both.withColumns({pred: F.col("__predicted.lang"), score: F.col("__predicted.score")}).drop("__predicted")
+    named = {pred: F.col("__predicted.lang"), score: F.col("__predicted.score")} | ({hits: F.col("__predicted.hits")} if hits else {})
+    return both.withColumns(named).drop("__predicted")
+
+
+def floors(labelled: DataFrame, filters: Filters, part: float, text: str = "text", lang: str = "lang") -> dict[str, float]:
+    """For each language ``part`` of the median hits an n-gram over its labelled texts that are taken for it.
+
+    A language without such texts gets the median over all. The median holds though
+    some labels are wrong.
+    """
+    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    found = identify(rows, filters, pred="pred", hits="hits").where("lang = pred")
+    median = F.percentile_approx("hits", F.lit(0.5), F.lit(1000)).alias("median")
+    rows = found.cube("lang").agg(median).collect()  # one row a language
+    known = {r["lang"]: r["median"] for r in rows if r["median"] is not None}
+    return {x: part * known.get(x, known.get(None, 0.0)) for x in filters.languages}
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
