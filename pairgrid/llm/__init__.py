@@ -13,6 +13,7 @@ _MODULES = (
     "packing",
     "chat",
     "fingerprints",
+    "alignment",
 )
 
 
