@@ -14,6 +14,7 @@ _MODULES = (
     "chat",
     "fingerprints",
     "alignment",
+    "prefix_trie",
 )
 
 
