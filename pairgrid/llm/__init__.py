@@ -15,6 +15,7 @@ _MODULES = (
     "fingerprints",
     "alignment",
     "prefix_trie",
+    "personal_data",
 )
 
 
