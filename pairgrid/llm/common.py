@@ -39,6 +39,14 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def short_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand texts to Python at most ``rows`` at a time from now on in this session.
 

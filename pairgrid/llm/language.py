@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairgrid.llm.common import CodeCounts, free_buffers, query, short_batches, table, whole_text, worker_store
+from pairgrid.llm.common import CodeCounts, free_buffers, query, short_batches, table, unused, whole_text, worker_store
 from pairgrid.session import staged
 
 #: Characters of a long text that are turned to n-grams at a time.
@@ -137,6 +137,7 @@ def train(
     rows_per_language: int = 20_000,
     near_best: float = 0.2,
     least: int = 2,
+    least_share: float = 0.0,
     slots: int = 1 << 20,
     hashes: int = 3,
 ) -> Filters:
@@ -144,8 +145,9 @@ def train(
 
     A language with more than ``rows_per_language`` rows gives about that many, by a
     hash of the id and text: the one bound on what training reads. An n-gram belongs to
-    the languages in which it is seen ``least`` times and whose relative frequency is at
-    least ``near_best`` of that in the language where it is most frequent.
+    the languages in which it is seen ``least`` times, makes up ``least_share`` of all
+    n-grams and has a relative frequency of at least ``near_best`` of that in the language
+    where it is most frequent. A share keeps out what a few texts with wrong labels bring.
     """
     short_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
@@ -163,7 +165,7 @@ def train(
     shares = counts.join(F.broadcast(totals), "lang").withColumn("share", F.col("n") / F.col("total"))
     best = shares.groupBy("code").agg(F.max("share").alias("best"))
     number = F.array_position(F.array([F.lit(x) for x in languages]), F.col("lang")) - 1
-    members = shares.join(best, "code").where((F.col("n") >= least) & (F.col("share") >= near_best * F.col("best")))
+    members = shares.join(best, "code").where((F.col("n") >= least) & (F.col("share") >= least_share) & (F.col("share") >= near_best * F.col("best")))
     placed = members.select("code", number.cast("int").alias("number"))
 
     def slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,23 +207,23 @@ def identify(
         free_buffers()
 
     # Deterministic and costly: kept as one column, so it runs once a row.
-    both = docs.withColumn("__predicted", predicted(whole_text(text)))
-    named = {pred: F.col("__predicted.lang"), score: F.col("__predicted.score")} | ({hits: F.col("__predicted.hits")} if hits else {})
-    return both.withColumns(named).drop("__predicted")
+    inner = unused(docs, "predicted")
+    both = docs.withColumn(inner, predicted(whole_text(text)))
+    named = {pred: F.col(f"{inner}.lang"), score: F.col(f"{inner}.score")} | ({hits: F.col(f"{inner}.hits")} if hits else {})
+    return both.withColumns(named).drop(inner)
 
 
-def floors(labelled: DataFrame, filters: Filters, part: float, text: str = "text", lang: str = "lang") -> dict[str, float]:
-    """For each language ``part`` of the median hits an n-gram over its labelled texts that are taken for it.
+def floors(found: DataFrame, languages: list[str], part: float, lang: str, pred: str, hits: str) -> dict[str, float]:
+    """For each language ``part`` of the median hits an n-gram over the rows that are labelled and taken for it.
 
-    A language without such texts gets the median over all. The median holds though
-    some labels are wrong.
+    ``found`` is what ``identify`` gives with ``hits``. A language without such rows gets
+    the median over all. The median holds though some labels are wrong.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    found = identify(rows, filters, pred="pred", hits="hits").where("lang = pred")
+    rows = found.where(F.col(lang) == F.col(pred)).select(F.col(lang).alias("lang"), F.col(hits).alias("hits"))
     median = F.percentile_approx("hits", F.lit(0.5), F.lit(1000)).alias("median")
-    rows = found.cube("lang").agg(median).collect()  # one row a language
-    known = {r["lang"]: r["median"] for r in rows if r["median"] is not None}
-    return {x: part * known.get(x, known.get(None, 0.0)) for x in filters.languages}
+    medians = rows.cube("lang").agg(median).collect()  # one row a language
+    known = {r["lang"]: r["median"] for r in medians if r["median"] is not None}
+    return {x: part * known.get(x, known.get(None, 0.0)) for x in languages}
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
