@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
+from pairgrid.functions.hashing import bound_to_itself
 from pairgrid.functions.semantics import (
     FORWARD_AXIS,
     at_least,
@@ -31,9 +32,11 @@ GEOMETRY_LIMITS = (
 )
 _LIMIT_NAMES = ("iou", "center", "ratio_low", "ratio_high", "bottom", "yaw")
 
-# Occlusion policy.
+# Cleanup and occlusion policies.
+CLEANUP_POLICY = "union_of_hash_bound_legacy_actor_cleanup_masks_v1"
 OCCLUSION_POLICY = "distinct_nearer_official_or_static_depth_v1"
 STATIC_EVIDENCE = "unannotated_static_depth_seed_region"
+STATIC_REGION = "legacy-renderer-scene-depth"
 MATERIAL_PIXELS = 16
 MATERIAL_SHARE = 0.04
 VISIBLE_PIXELS = 20
@@ -124,11 +127,19 @@ def layer_violations(layer: Column) -> Column:
     )
 
 
-def result_violations(r: Column, expected_domain: Column, cleanup_bound: Column) -> Column:
-    """Codes for one renderer result.
+def cleanup_receipt(usable: Column, passed: Column, sources: Column) -> Column:
+    """What one sample's layers say of the removed actor: all must be usable and passed. Not yet signed."""
+    return F.struct(
+        F.lit(1).alias("schema_version"),
+        F.lit(CLEANUP_POLICY).alias("policy"),
+        usable.alias("observation_technical_usable"),
+        passed.alias("quality_gate_pass"),
+        sources.alias("source_decision_sha256"),
+    )
+
 
-    ``cleanup_bound`` says whether the cleanup receipt carries its own hash.
-    """
+def result_violations(r: Column, kind: T.StructType, expected_domain: Column) -> Column:
+    """Codes for one renderer result of type ``kind``; its cleanup receipt must carry its own hash."""
     exposure, cleanup = r["camera_exposure"], r["original_actor_cleanup_receipt"]
     stamp = value_or(exposure["sample_data_timestamp_us"], 0)
     time = F.nullif(exposure["normalized_time_seconds"], F.lit(0.0))
@@ -140,7 +151,7 @@ def result_violations(r: Column, expected_domain: Column, cleanup_bound: Column)
             "exposure_not_bound": (stamp <= 0)
             | (value_or(exposure["camera_exposure_timestamp_us"], 0) != stamp)
             | ~finite(time),
-            "invalid_cleanup_receipt": ~is_true(cleanup_bound)
+            "invalid_cleanup_receipt": ~bound_to_itself(cleanup, kind["original_actor_cleanup_receipt"].dataType)
             | not_true(cleanup["observation_technical_usable"])
             | not_true(cleanup["quality_gate_pass"]),
             "target_quality_failed": not_true(r["target_quality_gate_pass"]),
@@ -186,8 +197,8 @@ def static_evidence(receipt: Column) -> Column:
     return F.filter(F.coalesce(receipt["static_region_decisions"], F.array()), proven)
 
 
-def receipt_violations(receipt: Column, self_bound: Column) -> Column:
-    """Codes for an occlusion receipt; the binding rules apply to versioned ones only."""
+def receipt_violations(receipt: Column, kind: T.StructType) -> Column:
+    """Codes for an occlusion receipt of type ``kind``; a versioned one must carry its own hash."""
     versioned = receipt["schema_version"].isNotNull()
     static = F.size(static_evidence(receipt)) > 0
     hashes = (
@@ -201,7 +212,7 @@ def receipt_violations(receipt: Column, self_bound: Column) -> Column:
             & (
                 (receipt["schema_version"] != 1)
                 | (text(receipt["policy"]) != OCCLUSION_POLICY)
-                | ~is_true(self_bound)
+                | ~bound_to_itself(receipt, kind)
                 | not_true(receipt["quality_gate_pass"])
             ),
             "depth_evidence_not_hash_bound": versioned & static & ~hashes,

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-_FLOATS = (T.FloatType, T.DoubleType, T.DecimalType)
-
 
 def sha(c: Column) -> Column:
     return F.sha2(c, 256)
@@ -21,7 +22,10 @@ def canonical_json(c: Column) -> Column:
     Struct fields must already be in name order. The JVM writes control
     characters with capital hex digits; the canonical form has small ones.
     """
-    out = F.to_json(c, {"ignoreNullFields": "false"})
+    return _small_escapes(F.to_json(c, {"ignoreNullFields": "false"}))
+
+
+def _small_escapes(out: Column) -> Column:
     lowered = out
     for digit in "ABCDEF":
         lowered = F.regexp_replace(
@@ -34,27 +38,151 @@ def canonical_sha(c: Column) -> Column:
     return sha(canonical_json(c))
 
 
-def object_sha(df: DataFrame, fields: dict[str, Column]) -> Column:
-    """Canonical hash of an object given by name; float fields are refused.
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
-    Float text differs between writers, so objects holding floats are hashed
-    from their source line with :func:`raw_sha`.
+def float_text(x: Column) -> Column:
+    """Shortest decimal digits that read back as the same double, noted as JSON writers of scripting languages do.
+
+    Exponents from -4 to 15 give plain notation with at least one digit behind the
+    point, others a mantissa and a signed exponent of two digits or more. The digits are
+    Spark's own, which may be one or two too many; they are cut as long as they read
+    back. Null for values that are not finite.
+    """
+    x = x.cast("double")
+
+    def read(s: Column, k: Column) -> Column:
+        return F.concat(s.cast("string"), F.lit("E"), k.cast("string")).cast("double")
+
+    def shorter(v: Column) -> Column:
+        shown, k = v["m"].cast("string"), v["k"] + 1
+        down = F.concat(F.lit("0"), F.substring(shown, F.lit(1), F.length(shown) - 1)).cast("bigint")
+        up = v["m"] - down * 10 >= 5
+        nearest, other = F.when(up, down + 1).otherwise(down), F.when(up, down).otherwise(down + 1)
+        fits = lambda m: F.struct(m.alias("m"), k.alias("k"), v["x"].alias("x"))
+        return F.when(read(nearest, k) == v["x"], fits(nearest)).when(read(other, k) == v["x"], fits(other)).otherwise(v)
+
+    def nearest(v: Column) -> Column:
+        """Whole numbers over 2**53: of the last digits that read back, the one nearest to the exact value."""
+        p = F.greatest(F.floor(F.log2(v["x"])).cast("int") - 53, F.lit(0))
+        wide = "decimal(19,0)"
+        value = (v["x"] / F.pow(F.lit(2.0), p)).cast("bigint").cast(wide) * F.pow(F.lit(2.0), p).cast("bigint").cast(wide)
+        tens = F.rpad(F.lit("1"), v["k"] + 1, F.lit("0")).cast(wide)
+        near = lambda m: F.struct(F.abs(m.cast(wide) * tens - value).alias("off"), m.alias("m"))
+        tried = F.filter(F.array(v["m"] - 1, v["m"], v["m"] + 1), lambda m: read(m, v["k"]) == v["x"])
+        return F.struct(F.array_min(F.transform(tried, near))["m"].alias("m"), v["k"].alias("k"), v["x"].alias("x"))
+
+    def noted(v: Column) -> Column:
+        digits = F.rtrim(v["m"].cast("string"), F.lit("0"))
+        e = F.length(v["m"].cast("string")) + v["k"] - 1
+        n = F.length(digits)
+        plain = F.when(n <= e + 1, F.concat(F.rpad(digits, e + 1, F.lit("0")), F.lit(".0"))).otherwise(
+            F.concat(F.substring(digits, F.lit(1), e + 1), F.lit("."), F.substring(digits, e + 2, n))
+        )
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
+        power = F.concat(F.when(e < 0, "-").otherwise("+"), F.lpad(F.abs(e).cast("string"), F.greatest(F.lit(2), F.length(F.abs(e).cast("string"))), F.lit("0")))
+        mantissa = F.concat(F.substring(digits, 1, 1), F.when(n > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), n))).otherwise(""))
+        return F.when((e >= 0) & (e < 16), plain).when((e < 0) & (e >= -4), small).otherwise(F.concat(mantissa, F.lit("e"), power))
+
+    def parts(t: Column) -> Column:
+        body, power = F.substring_index(t, "E", 1), F.when(F.contains(t, F.lit("E")), F.substring_index(t, "E", -1).cast("int")).otherwise(F.lit(0))
+        behind = F.length(F.substring_index(body, ".", -1))
+        return F.struct(F.replace(body, F.lit("."), F.lit("")).cast("bigint").alias("m"), (power - behind).alias("k"), F.abs(x).alias("x"))
+
+    long = lambda v: (v["m"] >= 10**15) | (v["x"] < 1e-300)
+    cut = lambda v: F.when(long(v), shorter(v)).otherwise(v)
+    large = lambda v: (v["m"] >= 10**15) & v["x"].between(1e16, 1e34) & (v["k"] > 0)
+    exact = _let(_let(_let(parts(F.abs(x).cast("string")), cut), cut), lambda v: F.when(large(v), nearest(v)).otherwise(v))
+    own = x.cast("string")
+    sign = F.when(own.startswith("-"), "-").otherwise("")
+    # Up to 15 digits in plain notation can't be shortened: most numbers end here.
+    text = F.when(~F.contains(own, F.lit("E")) & (F.length(own) <= 16), own).otherwise(F.concat(sign, _let(exact, noted)))
+    return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), text)
+
+
+# A JSON text in parts: strings, numbers, and what stands between.
+_PARTS = r'"(?:[^"\\]|\\.)*"|-?[0-9][0-9.]*(?:E-?[0-9]+)?|[^"0-9-]+'
+
+
+def _ordered(c: Column, kind: T.DataType, without: str = "") -> Column:
+    """The value with its struct fields and map keys in order, and floats as doubles."""
+    if isinstance(kind, T.StructType):
+        fields = sorted((f for f in kind.fields if f.name != without), key=lambda f: f.name)
+        return F.when(c.isNotNull(), F.struct(*[_ordered(c[f.name], f.dataType).alias(f.name) for f in fields]))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda v: _ordered(v, kind.elementType)) if isinstance(kind.elementType, (T.StructType, T.ArrayType, T.MapType, T.FloatType)) else c
+    if isinstance(kind, T.MapType) and isinstance(kind.keyType, T.StringType):
+        keys = F.array_sort(F.map_keys(c))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: _ordered(c[k], kind.valueType)))
+    if isinstance(kind, T.FloatType):
+        return c.cast("double")
+    if isinstance(kind, (T.StringType, T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType, T.NullType)):
+        return c
+    raise TypeError(f"no JSON form for {kind.simpleString()}")
+
+
+def _finite(c: Column, kind: T.DataType, without: str = "") -> list[Column]:
+    """Conditions that hold where no float of the value is infinite or not a number."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return [F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(True))]
+    if isinstance(kind, T.StructType):
+        return [x for f in kind.fields if f.name != without for x in _finite(c[f.name], f.dataType)]
+    inner = kind.elementType if isinstance(kind, T.ArrayType) else kind.valueType if isinstance(kind, T.MapType) else None
+    if inner is None or not _finite(F.lit(None), inner):
+        return []
+    values = F.map_values(c) if isinstance(kind, T.MapType) else c
+    return [F.coalesce(F.forall(values, lambda v: reduce(and_, _finite(v, inner))), F.lit(True))]
+
+
+def canonical_text(c: Column, kind: T.DataType, without: str = "") -> Column:
+    """Compact JSON of a value of the given type: keys in order, nulls kept, floats by :func:`float_text`.
+
+    ``without`` names a field of the outermost struct that is left out. Null where a
+    float is not finite. Decimals, dates, times and bytes have no JSON form here. The
+    value is written once; only a text with a number that Spark notes otherwise is taken
+    apart, so the expression does not grow with the number of floats.
     """
-    names = sorted(fields)
-    body = F.struct(*[fields[n].alias(n) for n in names])
-
-    def has_float(t: T.DataType) -> bool:
-        if isinstance(t, T.StructType):
-            return any(has_float(f.dataType) for f in t.fields)
-        if isinstance(t, T.ArrayType):
-            return has_float(t.elementType)
-        if isinstance(t, T.MapType):
-            return has_float(t.keyType) or has_float(t.valueType)
-        return isinstance(t, _FLOATS)
-
-    if has_float(df.select(body.alias("b")).schema["b"].dataType):
-        raise TypeError("object holds floating point fields: hash its source line instead")
-    return canonical_sha(body)
+    written = F.to_json(F.array(_ordered(c, kind, without)), {"ignoreNullFields": "false"})
+    other = r"[0-9]E-?[0-9]|[0-9.]{17}"
+    is_float = lambda x: ~x.startswith('"') & F.contains(x, F.lit(".")) & (F.contains(x, F.lit("E")) | (F.length(x) > 16))
+    parts = lambda out: F.transform(
+        F.regexp_extract_all(out, F.lit(_PARTS), F.lit(0)), lambda x: F.when(is_float(x), float_text(F.when(is_float(x), x).cast("double"))).otherwise(x)
+    )
+    noted = lambda out: F.when(out.rlike(other), F.array_join(parts(out), "")).otherwise(out)
+    bare = _let(_let(_let(written, _small_escapes), noted), lambda out: F.substring(out, F.lit(2), F.length(out) - 2))
+    finite = _finite(c, kind, without)
+    return F.when(reduce(and_, finite), bare) if finite else bare
+
+
+def value_sha(c: Column, kind: T.DataType, without: str = "") -> Column:
+    """Hash of the canonical JSON of a value, without one field of a struct if named."""
+    return sha(canonical_text(c, kind, without))
+
+
+def bound_to_itself(c: Column, kind: T.StructType, field: str = "decision_sha256") -> Column:
+    """Does a struct carry, in ``field``, the hash of its other fields? False for a null struct or without such a field."""
+    if field not in kind.names:
+        return F.lit(False)
+    return F.coalesce(c[field] == value_sha(c, kind, field), F.lit(False))
+
+
+def signed(df: DataFrame, c: Column, field: str = "decision_sha256") -> Column:
+    """A struct of ``df`` with the hash of its other fields in ``field``; a null struct stays null."""
+    kind = kind_of(df, c)
+    return F.when(c.isNotNull(), c.withField(field, value_sha(c, kind, field)))
+
+
+def kind_of(df: DataFrame, c: Column) -> T.DataType:
+    """Type of a column of ``df``."""
+    return df.select(c.alias("c")).schema["c"].dataType
+
+
+def object_sha(df: DataFrame, fields: dict[str, Column]) -> Column:
+    """Canonical hash of an object given by name."""
+    body = F.struct(*[fields[n].alias(n) for n in sorted(fields)])
+    return value_sha(body, kind_of(df, body))
 
 
 def _raw_hash(line: str | None, dropped: str) -> str | None:

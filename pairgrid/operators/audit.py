@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pairgrid.functions.gates import dimensions_ok, geometry_pass
+from pairgrid.functions.gates import cleanup_receipt, dimensions_ok, geometry_pass
+from pairgrid.functions.hashing import bound_to_itself, kind_of, signed
 from pairgrid.functions.semantics import (
     CAMERAS,
     FORWARD_AXIS,
@@ -187,17 +188,15 @@ def background_conflicts(layers: DataFrame) -> DataFrame:
 
 
 def cleanup_rollup(layers: DataFrame) -> DataFrame:
-    """One cleanup receipt per sample: usable and passed only if every layer's is.
+    """One signed cleanup receipt per sample: usable and passed only if every layer's is.
 
     A sample has a handful of layers; their receipt hashes are kept in layer order.
     """
-    return layers.groupBy("sample_id").agg(
-        F.bool_and(is_true(F.col("usable"))).alias("observation_technical_usable"),
-        F.bool_and(is_true(F.col("passed"))).alias("quality_gate_pass"),
-        F.transform(F.sort_array(F.collect_list(F.struct("ord", "decision_sha256"))), lambda s: s["decision_sha256"]).alias(
-            "source_decision_sha256"
-        ),
+    sources = F.transform(F.sort_array(F.collect_list(F.struct("ord", "decision_sha256"))), lambda s: s["decision_sha256"])
+    whole = layers.groupBy("sample_id").agg(
+        cleanup_receipt(F.bool_and(is_true(F.col("usable"))), F.bool_and(is_true(F.col("passed"))), sources).alias("receipt")
     )
+    return whole.select("sample_id", signed(whole, F.col("receipt")).alias("receipt")).select("sample_id", "receipt.*")
 
 
 # --- record audit --------------------------------------------------------
@@ -220,8 +219,8 @@ def duplicate_triplets(records: DataFrame, order: str = "sample_id") -> DataFram
     return records.join(firsts.select(order), order, "left_anti")
 
 
-def _decision_of(review: Column) -> Column:
-    bound = is_true(review["decision_bound"]) & (is_true(review["hard_failure"]) == hard_failure(review["decision"]))
+def _decision_of(review: Column, kind: T.StructType) -> Column:
+    bound = bound_to_itself(review, kind) & (is_true(review["hard_failure"]) == hard_failure(review["decision"]))
     return F.when(~bound, F.lit("visual_review_binding_mismatch")).when(
         is_true(review["hard_failure"]), F.lit("visual_review_candidate")
     )
@@ -230,9 +229,9 @@ def _decision_of(review: Column) -> Column:
 def record_errors(records: DataFrame, reviews: DataFrame | None = None) -> DataFrame:
     """Sorted distinct error codes of every record (empty when it is clean).
 
-    ``record_bound`` is false only for a record whose self-hash is wrong;
-    ``decision_bound`` says so for a review. With a review table, a record that has
-    no row there is not clean.
+    A record may carry the hash of its other columns in ``record_sha256``, and a review
+    must carry that of its own in ``decision_sha256``; both are computed anew from the
+    rows. With a review table, a record that has no row there is not clean.
     """
     layers = F.coalesce("asset_layers", F.array())
 
@@ -253,14 +252,18 @@ def record_errors(records: DataFrame, reviews: DataFrame | None = None) -> DataF
         "unverified_partial_occlusion": any_layer(
             lambda x: (value_or(x["occlusion"]["pixels"], 0) != 0) & not_true(x["occlusion"]["applied"])
         ),
-        "record_binding_mismatch": ~F.coalesce("record_bound", F.lit(True)),
     }
+    if "record_sha256" in records.columns:
+        own = F.struct(*records.columns)
+        rules["record_binding_mismatch"] = (text(F.col("record_sha256")) != "") & ~bound_to_itself(own, kind_of(records, own), "record_sha256")
     found = codes(rules)
     df = records
     if reviews is not None:
-        body = F.struct("hard_failure", "decision", "decision_bound")
-        df = records.join(reviews.select("sample_id", body.alias("_review")), "sample_id", "left")
-        verdict = F.when(F.col("_review").isNull(), F.lit("visual_review_missing")).otherwise(_decision_of(F.col("_review")))
+        told = reviews.select("sample_id", F.struct(*reviews.columns).alias("_review"))
+        df = records.join(told, "sample_id", "left")
+        verdict = F.when(F.col("_review").isNull(), F.lit("visual_review_missing")).otherwise(
+            _decision_of(F.col("_review"), told.schema["_review"].dataType)
+        )
         found = F.array_compact(F.array_append(found, verdict))
     return df.select("sample_id", F.sort_array(F.array_distinct(found)).alias("errors"))
 

@@ -7,22 +7,31 @@ them at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pairgrid.functions import arrays
 from pairgrid.functions.gates import (
     OCCLUSION_POLICY,
     STATIC_EVIDENCE,
+    STATIC_REGION,
+    cleanup_receipt,
     layer_violations,
     normalize_quality,
+    occlusion_applied,
+    occlusion_regression,
     receipt_violations,
     result_violations,
+    visible_enough,
 )
-from pairgrid.functions.semantics import IMAGE_HEIGHT, IMAGE_WIDTH, is_hash, nonzero_or, text
+from pairgrid.functions.hashing import signed
+from pairgrid.functions.semantics import IMAGE_HEIGHT, IMAGE_WIDTH, codes, is_hash, is_true, nonzero_or, text, value_or
 
 PIXEL = ["sample_id", "y", "x"]
 
@@ -207,64 +216,90 @@ def components(masks: DataFrame, height: int = IMAGE_HEIGHT, width: int = IMAGE_
     return masks.mapInPandas(run, schema + ", component_index INT, component_pixels INT, first_pixel INT")
 
 
-_EVIDENCE = (
-    "foreground BINARY, components ARRAY<STRUCT<component_index: INT, component_pixels: INT, "
-    "verified_nearer_seed_pixels: INT, accepted: BOOLEAN>>, full_projected_pixels INT, minimum_overlap_pixels INT, "
-    "selected_occlusion_pixels INT, selected_occlusion_fraction DOUBLE, renderer_verified_occlusion_pixels INT, "
-    "restored_asset_pixels INT, target_exact_overlap_pixels INT, full_asset_support_sha256 STRING, "
-    "target_exact_support_sha256 STRING, nearer_depth_support_sha256 STRING, selected_occlusion_mask_sha256 STRING"
+_COUNT_FACTS = (
+    "full_projected_pixels", "minimum_overlap_pixels", "selected_occlusion_pixels", "renderer_verified_occlusion_pixels",
+    "restored_asset_pixels", "target_exact_overlap_pixels",
 )
-_EVIDENCE_NAMES = (
-    "foreground", "components", "full_projected_pixels", "minimum_overlap_pixels", "selected_occlusion_pixels",
-    "selected_occlusion_fraction", "renderer_verified_occlusion_pixels", "restored_asset_pixels",
-    "target_exact_overlap_pixels", "full_asset_support_sha256", "target_exact_support_sha256",
-    "nearer_depth_support_sha256", "selected_occlusion_mask_sha256",
+_HASH_FACTS = ("full_asset_support_sha256", "target_exact_support_sha256", "nearer_depth_support_sha256", "selected_occlusion_mask_sha256")
+_COMPONENT = pa.struct(
+    [("component_index", pa.int32()), ("component_pixels", pa.int32()), ("verified_nearer_seed_pixels", pa.int32()), ("accepted", pa.bool_())]
 )
+_EVIDENCE = pa.struct(
+    [("depth_code", pa.string()), ("median_depth_m", pa.float64()), ("foreground", pa.binary()), ("components", pa.list_(_COMPONENT))]
+    + [("target_center_depth_m", pa.float64()), ("selected_occlusion_fraction", pa.float64())]
+    + [(n, pa.int32()) for n in _COUNT_FACTS]
+    + [(n, pa.string()) for n in _HASH_FACTS]
+)
+
+
+def _ddl(kind: pa.DataType) -> str:
+    """Spark's name of an Arrow type."""
+    if pa.types.is_struct(kind):
+        return f"STRUCT<{', '.join(f'{f.name}: {_ddl(f.type)}' for f in kind)}>"
+    if pa.types.is_list(kind):
+        return f"ARRAY<{_ddl(kind.value_type)}>"
+    names = {pa.string(): "STRING", pa.binary(): "BINARY", pa.bool_(): "BOOLEAN", pa.int32(): "INT", pa.int64(): "BIGINT", pa.float64(): "DOUBLE"}
+    return names[kind]
+
+
+def with_kernel(df: DataFrame, name: str, kind: pa.StructType, columns: list[str], kernel: Callable[[dict], dict]) -> DataFrame:
+    """``df`` with a struct that ``kernel`` makes of the named columns of each row.
+
+    All columns of ``df`` go through as they are, so rows with images are not joined
+    to their results: there is no exchange, and one Python stage for each kernel.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [kernel(row) for row in batch.select(columns).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, kind)], names=[*batch.schema.names, name])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructType.fromDDL(f"`{name}` {_ddl(kind)}")[0]]))
 
 
 def occlusion_receipts(layers: DataFrame, height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH) -> DataFrame:
-    """Median depth and, where occlusion is material and proven, its evidence.
+    """Layers with their median depth and, where occlusion is material and proven, its evidence.
 
-    ``layers`` has ``sample_id``, ``ord``, the byte masks ``full_alpha``,
-    ``visible_alpha`` and ``exact_alpha``, and the float64 depth maps
-    ``scene_depth`` and ``asset_depth``. ``depth_code`` tells layers without any
-    positive finite depth and, where pixels are hidden, maps of a wrong shape.
+    ``layers`` has the byte masks ``full_alpha``, ``visible_alpha`` and ``exact_alpha``,
+    and the float64 depth maps ``scene_depth`` and ``asset_depth``; its other columns
+    stay. ``depth_code`` tells layers without any positive finite depth and, where pixels
+    are hidden, maps of a wrong shape.
     """
 
-    def one(row) -> dict:
-        out: dict = {"sample_id": row.sample_id, "ord": row.ord, "depth_code": None, "median_depth_m": None}
+    def one(row: dict) -> dict:
         full, visible, exact = (
-            np.frombuffer(m, np.uint8).reshape(height, width) > arrays.ADAPTER_BYTE
-            for m in (row.full_alpha, row.visible_alpha, row.exact_alpha)
+            np.frombuffer(row[m], np.uint8).reshape(height, width) > arrays.ADAPTER_BYTE for m in ("full_alpha", "visible_alpha", "exact_alpha")
         )
-        scene, asset = (np.frombuffer(d, np.float64) for d in (row.scene_depth, row.asset_depth))
+        scene, asset = (np.frombuffer(row[d], np.float64) for d in ("scene_depth", "asset_depth"))
         hidden = (full & ~visible).any()
         if hidden and (scene.size != full.size or asset.size != full.size):
-            return out | {"depth_code": "depth_shape_differs"}
-        out["median_depth_m"] = arrays.median_depth(asset)
-        if out["median_depth_m"] is None:
-            return out | {"depth_code": "no_positive_depth"}
+            return {"depth_code": "depth_shape_differs"}
+        median = arrays.median_depth(asset)
+        if median is None:
+            return {"depth_code": "no_positive_depth"}
+        found = {"median_depth_m": median}
         if not hidden:
-            return out
+            return found
         shape = (height, width)
-        return out | (arrays.occlusion_evidence(full, visible, exact, scene.reshape(shape), asset.reshape(shape)) or {})
+        evidence = arrays.occlusion_evidence(full, visible, exact, scene.reshape(shape), asset.reshape(shape)) or {}
+        if evidence and evidence["target_center_depth_m"] is None:
+            return found | {"depth_code": "no_positive_support"}
+        return found | evidence
 
-    columns = ["sample_id", "ord", "depth_code", "median_depth_m", *_EVIDENCE_NAMES]
+    needed = ["full_alpha", "visible_alpha", "exact_alpha", "scene_depth", "asset_depth"]
+    kept = [c for c in layers.columns if c not in _EVIDENCE.names]
+    return with_kernel(layers.select(*kept), "_evidence", _EVIDENCE, needed, one).select(*kept, "_evidence.*")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [one(r) for r in batch.itertuples(index=False)]
-            yield pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in columns})
-
-    wanted = layers.select("sample_id", "ord", "full_alpha", "visible_alpha", "exact_alpha", "scene_depth", "asset_depth")
-    kind = layers.schema["ord"].dataType.simpleString()
-    return wanted.mapInPandas(run, f"sample_id STRING, ord {kind}, depth_code STRING, median_depth_m DOUBLE, {_EVIDENCE}")
 
+def receipt_struct(layers: DataFrame, height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH) -> Column:
+    """Signed occlusion receipt in the form the gates read, for the rows of :func:`occlusion_receipts`.
 
-def receipt_struct() -> Column:
-    """Occlusion receipt in the form the gates read, from one row of :func:`occlusion_receipts`."""
+    ``instance_token`` is the layer's target; rows without evidence have no receipt.
+    """
     region = F.struct(
+        F.lit(0).alias("ordinal"),
         F.lit(STATIC_EVIDENCE).alias("evidence_kind"),
+        F.lit(STATIC_REGION).alias("region_id"),
         F.lit(arrays.MIN_SEEDS).alias("minimum_verified_seed_pixels_per_component"),
         F.col("components"),
         F.transform(F.filter("components", lambda c: c["accepted"]), lambda c: c["component_index"]).alias(
@@ -273,58 +308,60 @@ def receipt_struct() -> Column:
         F.col("selected_occlusion_pixels").alias("selected_pixels"),
         F.lit(True).alias("accepted"),
     )
-    return F.when(
-        F.col("foreground").isNotNull(),
-        F.struct(
-            F.lit(1).alias("schema_version"),
-            F.lit(OCCLUSION_POLICY).alias("policy"),
-            F.lit(True).alias("quality_gate_pass"),
-            F.lit(True).alias("independent_foreground_verified"),
-            F.lit(arrays.MIN_SEEDS).alias("minimum_static_seed_pixels"),
-            F.sha2("scene_depth", 256).alias("scene_depth_sha256"),
-            F.sha2("asset_depth", 256).alias("asset_depth_sha256"),
-            "nearer_depth_support_sha256",
-            "full_asset_support_sha256",
-            "target_exact_support_sha256",
-            "selected_occlusion_mask_sha256",
-            "selected_occlusion_pixels",
-            "renderer_verified_occlusion_pixels",
-            "restored_asset_pixels",
-            F.array()
-            .cast(
-                "array<struct<is_distinct_from_target: boolean, official_annotation_bound: boolean, "
-                "strictly_nearer_than_target: boolean, accepted: boolean>>"
-            )
-            .alias("official_instance_decisions"),
-            F.array(region).alias("static_region_decisions"),
-        ),
+    body = F.struct(
+        F.lit(1).alias("schema_version"),
+        F.lit(OCCLUSION_POLICY).alias("policy"),
+        F.col("instance_token").alias("target_instance_token"),
+        "target_center_depth_m",
+        F.lit(arrays.DEPTH_MARGIN_M).alias("absolute_depth_margin_m"),
+        F.lit(arrays.DEPTH_MARGIN_SHARE).alias("relative_depth_margin"),
+        F.lit(arrays.MIN_SEEDS).alias("minimum_static_seed_pixels"),
+        F.array(F.lit(height), F.lit(width)).alias("image_shape_hw"),
+        F.sha2("scene_depth", 256).alias("scene_depth_sha256"),
+        F.sha2("asset_depth", 256).alias("asset_depth_sha256"),
+        F.array()
+        .cast(
+            "array<struct<is_distinct_from_target: boolean, official_annotation_bound: boolean, "
+            "strictly_nearer_than_target: boolean, accepted: boolean>>"
+        )
+        .alias("official_instance_decisions"),
+        F.array(region).alias("static_region_decisions"),
+        F.lit(True).alias("target_exact_is_diagnostic_only"),
+        F.lit(True).alias("quality_gate_pass"),
+        F.lit(True).alias("independent_foreground_verified"),
+        "selected_occlusion_fraction",
+        *_COUNT_FACTS,
+        *_HASH_FACTS,
     )
+    return signed(layers, F.when(F.col("foreground").isNotNull(), body))
+
+
+_REMOVAL = pa.struct([("removed", pa.binary()), ("removed_mask", pa.binary())])
 
 
 def merge_removals(samples: DataFrame, height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH) -> DataFrame:
-    """Removed image and union mask per sample.
+    """Samples with their removed image and union mask, ``removed`` and ``removed_mask``.
 
-    ``samples`` has ``sample_id``, the RGB bytes ``target`` and ``edits``, an
-    array of (mask, replacement) in layer order; later layers win.
+    ``samples`` has the RGB bytes ``target`` and ``edits``, an array of (mask,
+    replacement) in layer order; later layers win. Other columns stay.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            removed, masks = [], []
-            for row in batch.itertuples(index=False):
-                image = np.frombuffer(row.target, np.uint8).reshape(height * width, 3).copy()
-                union = np.zeros(height * width, dtype=bool)
-                for edit in row.edits:
-                    mask = np.frombuffer(edit["mask"], np.uint8) > arrays.ADAPTER_BYTE
-                    image[mask] = np.frombuffer(edit["replacement"], np.uint8).reshape(-1, 3)[mask]
-                    union |= mask
-                removed.append(image.tobytes())
-                masks.append((union * np.uint8(255)).tobytes())
-            yield pd.DataFrame({"sample_id": batch["sample_id"].to_numpy(), "removed": removed, "removed_mask": masks})
-
-    return samples.select("sample_id", "target", "edits").mapInPandas(
-        run, "sample_id STRING, removed BINARY, removed_mask BINARY"
-    )
+    def one(row: dict) -> dict:
+        image = np.frombuffer(row["target"], np.uint8).reshape(height * width, 3).copy()
+        union = np.zeros(height * width, dtype=bool)
+        for edit in row["edits"]:
+            mask = np.frombuffer(edit["mask"], np.uint8) > arrays.ADAPTER_BYTE
+            image[mask] = np.frombuffer(edit["replacement"], np.uint8).reshape(-1, 3)[mask]
+            union |= mask
+        return {"removed": image.tobytes(), "removed_mask": (union * np.uint8(255)).tobytes()}
+
+    kept = [c for c in samples.columns if c not in _REMOVAL.names]
+    return with_kernel(samples.select(*kept), "_removal", _REMOVAL, ["target", "edits"], one).select(*kept, "_removal.*")
+
+
+def _shas(**columns: Column | str) -> Column:
+    """Struct of the hashes of binary columns."""
+    return F.struct(*[F.sha2(F.col(c) if isinstance(c, str) else c, 256).alias(name) for name, c in columns.items()])
 
 
 def adapt_results(jobs: DataFrame, layers: DataFrame, height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH) -> DataFrame:
@@ -332,10 +369,11 @@ def adapt_results(jobs: DataFrame, layers: DataFrame, height: int = IMAGE_HEIGHT
 
     ``jobs`` holds what a result repeats of its job and exposure; ``layers`` has
     one row per (sample, ord) with masks, depth maps, images, the nested
-    ``raw_quality`` and the cleanup flags. A job has a handful of layers.
+    ``raw_quality``, the cleanup flags and ``cleanup_decision_sha256``. A job has a
+    handful of layers. Receipts carry their own hashes, and the result the hashes of all
+    its images. Layer images are moved once, to their sample.
     """
-    evidence = occlusion_receipts(layers, height, width)
-    joined = layers.join(evidence, ["sample_id", "ord"])
+    found = occlusion_receipts(layers, height, width)
     occluded = F.coalesce(F.col("selected_occlusion_pixels") > 0, F.lit(False))
     layer = F.struct(
         "ord",
@@ -346,133 +384,164 @@ def adapt_results(jobs: DataFrame, layers: DataFrame, height: int = IMAGE_HEIGHT
             F.col("layer_rgb").alias("rgb"), F.col("full_alpha").alias("alpha"),
             "foreground",
             F.col("exact_alpha").alias("exact"),
-            receipt_struct().alias("receipt"),
+            _shas(rgb="layer_rgb", alpha="full_alpha", foreground="foreground", exact="exact_alpha").alias("content_sha256"),
+            receipt_struct(found, height, width).alias("receipt"),
         ).alias("layer"),
     )
-    per_sample = joined.groupBy("sample_id").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("ord", F.struct("mask", "replacement").alias("e")))), lambda v: v["e"]).alias("edits"),
+
+    def in_order(value: Column) -> Column:
+        return F.transform(F.sort_array(F.collect_list(F.struct("ord", value.alias("e")))), lambda v: v["e"])
+
+    per_sample = found.groupBy("sample_id").agg(
+        in_order(F.struct("mask", "replacement")).alias("edits"),
         F.array_agg(layer).alias("_layers"),
         F.max("depth_code").alias("depth_code"),
-        F.bool_and(F.coalesce("usable", F.lit(False))).alias("usable"),
-        F.bool_and(F.coalesce("passed", F.lit(False))).alias("passed"),
+        cleanup_receipt(
+            F.bool_and(F.coalesce("usable", F.lit(False))), F.bool_and(F.coalesce("passed", F.lit(False))), in_order(F.col("cleanup_decision_sha256"))
+        ).alias("_cleanup"),
         F.min("target_sha256").eqNullSafe(F.max("target_sha256")).alias("same_target"),
         F.min("gt_sha256").eqNullSafe(F.max("gt_sha256")).alias("same_gt"),
     )
-    whole = jobs.join(per_sample, "sample_id")
-    removals = merge_removals(whole, height, width)
-    return whole.join(removals, "sample_id").select(
+    whole = merge_removals(jobs.join(per_sample, "sample_id"), height, width)
+    return whole.select(
         *[c for c in jobs.columns],
         F.when(F.col("depth_code").isNotNull(), F.col("depth_code"))
         .when(~(F.col("same_target") & F.col("same_gt")), "backgrounds_differ")
         .alias("adapter_code"),
-        F.struct(F.col("usable").alias("observation_technical_usable"), F.col("passed").alias("quality_gate_pass")).alias(
-            "original_actor_cleanup_receipt"
-        ),
+        signed(whole, F.col("_cleanup")).alias("original_actor_cleanup_receipt"),
         "removed",
         "removed_mask",
+        _shas(gt="gt", target="target", removed="removed", removed_mask="removed_mask").alias("source_sha256"),
         F.expr("transform(array_sort(_layers, (a, b) -> a.ord - b.ord), v -> v.layer)").alias("asset_layers"),
     )
 
 
-_COMPOSED = (
-    "sample_id STRING, code STRING, input BINARY, occlusion ARRAY<STRUCT<pixels: INT, applied: BOOLEAN, "
-    "renderer_occlusion_regression: BOOLEAN>>"
+_LAYER_FACTS = pa.struct(
+    [("support", pa.int64()), ("occluded", pa.int64()), ("seen", pa.int64())]
+    + [(n, pa.string()) for n in ("support_sha256", "occluded_sha256", "exact_sha256")]
+)
+_FACTS = pa.struct(
+    [("valid", pa.bool_()), ("moved", pa.int64()), ("moved_outside", pa.bool_()), ("layers", pa.list_(_LAYER_FACTS))]
+    + [("overlapping", pa.bool_()), ("inserted", pa.int64()), ("inserted_outside", pa.bool_()), ("input", pa.binary())]
 )
 
 
 def paint_samples(samples: DataFrame, height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH) -> DataFrame:
-    """Composite each sample from its bytes and check every pixel rule.
+    """Samples with ``facts``: the painted image and what the pixel rules count.
 
-    Columns: ``sample_id``, RGB bytes ``target`` and ``removed``, the mask
-    ``removed_mask``, and ``asset_layers`` with ``rgb``, ``alpha``,
-    ``foreground``, ``exact``, ``median_depth_m``, ``complete`` and ``receipt``.
-    ``code`` is the first rule broken, or null.
+    ``samples`` has the RGB bytes ``target`` and ``removed``, the mask ``removed_mask``,
+    and ``asset_layers`` with ``rgb``, ``alpha``, ``foreground``, ``exact`` and
+    ``median_depth_m``; other columns stay. The kernel decides nothing but what the
+    picture needs: occlusion below the least material size is none.
     """
     size = height * width
 
     def rgb(data: bytes) -> np.ndarray:
         return np.frombuffer(data, np.uint8).reshape(height, width, 3).astype(np.float32) / np.float32(255)
 
-    def grey(data: bytes | None) -> np.ndarray | None:
-        return None if data is None else np.frombuffer(data, np.uint8).reshape(height, width).astype(np.float32) / np.float32(255)
+    def grey(data: bytes) -> np.ndarray:
+        return np.frombuffer(data, np.uint8).reshape(height, width).astype(np.float32) / np.float32(255)
 
-    def one(row) -> tuple[str | None, bytes | None, list]:
-        parts = [row.target, row.removed] + [x["rgb"] for x in row.asset_layers]
-        masks = [row.removed_mask] + [x["alpha"] for x in row.asset_layers]
+    def one(row: dict) -> dict:
+        layers = row["asset_layers"] or []
+        parts = [row["target"], row["removed"]] + [x["rgb"] for x in layers]
+        masks = [row["removed_mask"]] + [x["alpha"] for x in layers]
+        masks += [x[m] for x in layers for m in ("foreground", "exact") if x[m] is not None]
         if any(p is None or len(p) != 3 * size for p in parts) or any(m is None or len(m) != size for m in masks):
-            return "invalid_image", None, []
-        target, removed, edit = rgb(row.target), rgb(row.removed), grey(row.removed_mask) > 0
+            return {"valid": False}
+        target, removed, edit = rgb(row["target"]), rgb(row["removed"]), grey(row["removed_mask"]) > 0
         moved = arrays.changed(removed, target)
-        if moved.sum() < arrays.MIN_CHANGED:
-            return "removal_ineffective", None, []
-        if (moved & ~edit).any():
-            return "removal_outside_mask", None, []
-        if len(row.asset_layers) == 0:
-            return "no_asset_layers", None, []
-        alphas, colours, depths, notes = [], [], [], []
-        for layer in row.asset_layers:
-            alpha, colour = grey(layer["alpha"]), rgb(layer["rgb"])
-            hidden, note, code = arrays.verified_foreground(
-                alpha, grey(layer["foreground"]), grey(layer["exact"]), layer["receipt"] or {}
-            )
-            if code:
-                return code, None, []
-            if note["regression"]:
-                return "occlusion_regression", None, []
+        out = {"valid": True, "moved": int(moved.sum()), "moved_outside": bool((moved & ~edit).any()), "layers": []}
+        alphas, colours, depths = [], [], []
+        for x in layers:
+            alpha = grey(x["alpha"])
+            support = alpha > arrays.SUPPORT
+            hidden = np.zeros_like(support) if x["foreground"] is None else (grey(x["foreground"]) >= arrays.OCCLUDER) & support
+            if hidden.sum() < arrays.least_material(int(support.sum())):
+                hidden[:] = False
             alpha = np.where(hidden, np.float32(0), alpha)
-            seen = int((alpha > arrays.SUPPORT).sum())
-            whole = int(layer["complete"] or seen)
-            if seen < 20 or seen / max(whole, 1) < 0.15:
-                return "not_materially_visible", None, []
-            alphas.append(alpha)
-            colours.append(np.where(hidden[..., None], np.float32(0), colour))
-            depths.append(float(layer["median_depth_m"] or np.inf))
-            notes.append((note["pixels"], note["applied"], note["regression"]))
-        stack = np.stack(alphas)
-        if arrays.overlap_exceeded(stack > arrays.SUPPORT):
-            return "edit_overlap", None, []
-        out = arrays.paint(removed, np.stack(colours), stack, np.array(depths))
-        if arrays.changed(out, removed).sum() < arrays.MIN_CHANGED:
-            return "insertion_ineffective", None, []
-        if (arrays.changed(out, target) & ~(edit | (stack > 0).any(axis=0))).any():
-            return "changed_outside_support", None, []
-        return None, arrays.to_bytes(out), notes
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            done = [one(r) for r in batch.itertuples(index=False)]
-            names = ("pixels", "applied", "renderer_occlusion_regression")
-            yield pd.DataFrame(
+            out["layers"].append(
                 {
-                    "sample_id": batch["sample_id"].to_numpy(),
-                    "code": pd.Series([d[0] for d in done], dtype=object),
-                    "input": pd.Series([d[1] for d in done], dtype=object),
-                    "occlusion": pd.Series([[dict(zip(names, n)) for n in d[2]] for d in done], dtype=object),
+                    "support": int(support.sum()), "occluded": int(hidden.sum()), "seen": int((alpha > arrays.SUPPORT).sum()),
+                    "support_sha256": arrays.mask_sha(support), "occluded_sha256": arrays.mask_sha(hidden),
+                    "exact_sha256": None if x["exact"] is None else arrays.mask_sha(grey(x["exact"]) > arrays.SUPPORT),
                 }
             )
+            alphas.append(alpha)
+            colours.append(np.where(hidden[..., None], np.float32(0), rgb(x["rgb"])))
+            depths.append(float(x["median_depth_m"] or np.inf))
+        if not layers:
+            return out
+        stack = np.stack(alphas)
+        done = arrays.paint(removed, np.stack(colours), stack, np.array(depths))
+        return out | {
+            "overlapping": arrays.overlap_exceeded(stack > arrays.SUPPORT),
+            "inserted": int(arrays.changed(done, removed).sum()),
+            "inserted_outside": bool((arrays.changed(done, target) & ~(edit | (stack > 0).any(axis=0))).any()),
+            "input": arrays.to_bytes(done),
+        }
+
+    return with_kernel(samples, "facts", _FACTS, ["target", "removed", "removed_mask", "asset_layers"], one)
+
+
+def layer_occlusion(layer: Column, facts: Column) -> Column:
+    """pixels, applied and renderer_occlusion_regression of one painted layer."""
+    receipt, pixels, support = layer["receipt"], facts["occluded"], facts["support"]
+    masked = layer["foreground"].isNotNull()
+    return F.struct(
+        pixels.cast("int").alias("pixels"),
+        (masked & occlusion_applied(pixels, support)).alias("applied"),
+        (masked & occlusion_regression(receipt["renderer_verified_occlusion_pixels"], receipt["restored_asset_pixels"], pixels, support)).alias(
+            "renderer_occlusion_regression"
+        ),
+    )
+
+
+def layer_pixel_violations(layer: Column, facts: Column) -> Column:
+    """Codes of one painted layer: does its receipt fit its masks, and is enough of it seen?"""
+    receipt = layer["receipt"]
+    versioned = layer["foreground"].isNotNull() & receipt["schema_version"].isNotNull()
+    same = lambda claimed, counted: F.coalesce(claimed == counted, F.lit(False))
+    fits = (
+        same(receipt["full_asset_support_sha256"], facts["support_sha256"])
+        & same(receipt["selected_occlusion_mask_sha256"], facts["occluded_sha256"])
+        & (layer["exact"].isNull() | same(receipt["target_exact_support_sha256"], facts["exact_sha256"]))
+    )
+    counted = value_or(receipt["selected_occlusion_pixels"], 0) == facts["occluded"]
+    return codes(
+        {
+            "occlusion_pixels_differ": versioned & ~counted,
+            "occlusion_support_differs": versioned & counted & ~fits,
+            "occlusion_regression": layer_occlusion(layer, facts)["renderer_occlusion_regression"],
+            "not_materially_visible": ~visible_enough(facts["seen"], layer["quality"]["complete_projected_asset_pixels"]),
+        }
+    )
+
 
-    wanted = samples.select(
-        "sample_id", "target", "removed", "removed_mask",
-        F.transform(
-            "asset_layers",
-            lambda x: F.struct(
-                x["rgb"].alias("rgb"), x["alpha"].alias("alpha"), x["foreground"].alias("foreground"), x["exact"].alias("exact"),
-                x["median_depth_m"].cast("double").alias("median_depth_m"),
-                x["quality"]["complete_projected_asset_pixels"].alias("complete"),
-                F.struct(
-                    *[
-                        x["receipt"][n].alias(n)
-                        for n in (
-                            "schema_version", "selected_occlusion_pixels", "full_asset_support_sha256",
-                            "selected_occlusion_mask_sha256", "target_exact_support_sha256",
-                            "renderer_verified_occlusion_pixels", "restored_asset_pixels",
-                        )
-                    ]
-                ).alias("receipt"),
-            ),
-        ).alias("asset_layers"),
+def sample_pixel_violations(layers: Column, facts: Column) -> Column:
+    """Codes of one painted sample, in the order of the stages; an invalid image has no others."""
+    removal = codes(
+        {
+            "removal_ineffective": facts["moved"] < arrays.MIN_CHANGED,
+            "removal_outside_mask": facts["moved_outside"],
+            "no_asset_layers": F.size(facts["layers"]) == 0,
+        }
+    )
+    each = F.flatten(F.zip_with(layers, facts["layers"], layer_pixel_violations))
+    insertion = codes(
+        {
+            "edit_overlap": is_true(facts["overlapping"]),
+            "insertion_ineffective": F.coalesce(facts["inserted"] < arrays.MIN_CHANGED, F.lit(False)),
+            "changed_outside_support": is_true(facts["inserted_outside"]),
+        }
     )
-    return wanted.mapInPandas(run, _COMPOSED)
+    return F.when(~facts["valid"], F.array(F.lit("invalid_image"))).otherwise(F.concat(removal, F.coalesce(each, F.array()), insertion))
+
+
+def hash_violations(names: dict[str, Column], declared: Column, code: str) -> Column:
+    """``code`` where a declared hash is none or differs from the bytes; absent optional bytes are passed as null."""
+    wrong = [data.isNotNull() & (~is_hash(declared[n]) | (declared[n] != F.sha2(data, 256))) for n, data in names.items()]
+    return F.array_compact(F.array(F.when(F.coalesce(reduce(or_, wrong), F.lit(True)), F.lit(code))))
 
 
 def compose(
@@ -480,58 +549,67 @@ def compose(
 ) -> tuple[DataFrame, DataFrame]:
     """Accepted triplets and rejected results with a reason.
 
-    The rule gates run first, as columns; only rows that pass them carry their
-    images into the pixel stage. The reason is the first rule broken; a fault that
-    :func:`adapt_results` found in ``adapter_code`` comes before all others. An id is
-    taken by its first complete row in ``order``, whether or not that row passes.
-    ``cleanup_bound`` and the layers' ``receipt_bound`` say whether a receipt
-    carries its own hash; ``hash_code`` names a source image that differs.
+    The rule gates run first, as columns; only rows that pass them are painted. The
+    reason is the first rule broken; a fault that :func:`adapt_results` found in
+    ``adapter_code`` comes before all others. An id is taken by its first complete row in
+    ``order``, whether or not that row passes. Cleanup and occlusion receipts must carry
+    their own hash in ``decision_sha256``, and ``source_sha256`` and the layers'
+    ``content_sha256`` must be the hashes of the bytes.
+
+    Rows with images are dealt by sample_id once, or not at all where they are already.
     """
-    complete = results.filter((text(F.col("status")) == "complete") & (text(F.col("sample_id")) != ""))
-    owners = complete.groupBy("sample_id").agg(F.min(order).alias(order), F.lit(True).alias("_owner"))
+    kind = results.schema
+    complete = (text(F.col("status")) == "complete") & (text(F.col("sample_id")) != "")
+    owners = results.filter(complete).groupBy("sample_id").agg(F.min(order).alias("_owner"))
     body = F.struct(*results.columns)
     layers = F.coalesce("asset_layers", F.array())
-    has_mask = F.filter(layers, lambda x: x["foreground"].isNotNull())
+    layer_kind = kind["asset_layers"].dataType.elementType
     adapter = F.array_compact(F.array(F.col("adapter_code"))) if "adapter_code" in results.columns else F.array().cast("array<string>")
+
+    def layer_hashes(x: Column) -> Column:
+        return hash_violations({n: x[n] for n in ("rgb", "alpha", "foreground", "exact")}, x["content_sha256"], "layer_hash_mismatch")
+
+    def receipts(x: Column) -> Column:
+        found = receipt_violations(x["receipt"], layer_kind["receipt"].dataType)
+        return F.when(x["foreground"].isNotNull(), found).otherwise(F.array().cast("array<string>"))
+
     ruled = F.concat(
         adapter,
-        result_violations(body, F.lit(expected_domain), F.col("cleanup_bound")),
-        F.array_compact(F.array(F.col("hash_code"))),
-        F.flatten(F.transform(layers, layer_violations)),
-        F.flatten(F.transform(has_mask, lambda x: receipt_violations(x["receipt"], x["receipt_bound"]))),
+        result_violations(body, kind, F.lit(expected_domain)),
+        hash_violations({n: F.col(n) for n in ("gt", "target", "removed", "removed_mask")}, F.col("source_sha256"), "source_hash_mismatch"),
+        F.flatten(F.transform(layers, lambda x: F.concat(layer_violations(x), layer_hashes(x), receipts(x)))),
     )
-    claimed = F.when(
-        (text(F.col("status")) == "complete") & (text(F.col("sample_id")) != "") & F.col("_owner").isNull(), F.array(F.lit("duplicate_result"))
-    ).otherwise(F.array().cast("array<string>"))
-    judged = results.join(owners, ["sample_id", order], "left").withColumn("_codes", F.concat(claimed, ruled))
-    passed = judged.filter(F.size("_codes") == 0).drop("_codes", "_owner")
-    painted = passed.join(paint_samples(passed, height, width), "sample_id")
-    refused = judged.filter(F.size("_codes") > 0).select("sample_id", order, F.get("_codes", F.lit(0)).alias("reason"))
-    unpainted = painted.filter(F.col("code").isNotNull()).select("sample_id", order, F.col("code").alias("reason"))
-    accepted = painted.filter(F.col("code").isNull()).select(
+    claimed = F.when(complete & (F.col(order) != F.col("_owner")), F.array(F.lit("duplicate_result"))).otherwise(F.array().cast("array<string>"))
+    judged = results.join(owners, "sample_id", "left").withColumn("_codes", F.concat(claimed, ruled)).drop("_owner")
+    painted = paint_samples(judged.filter(F.size("_codes") == 0).drop("_codes"), height, width)
+    painted = painted.withColumn("_codes", sample_pixel_violations(F.col("asset_layers"), F.col("facts")))
+
+    def refused(rows: DataFrame) -> DataFrame:
+        return rows.filter(F.size("_codes") > 0).select("sample_id", order, F.get("_codes", F.lit(0)).alias("reason"))
+
+    noted = F.zip_with(
+        "asset_layers", "facts.layers",
+        lambda x, f: F.struct(
+            x["obj_id"].alias("obj_id"),
+            x["instance_token"].alias("instance_token"),
+            x["asset_sha256"].alias("asset_sha256"),
+            x["official_dimensions_m"].alias("official_dimensions_m"),
+            x["forward_axis"].alias("forward_axis"),
+            nonzero_or(x["median_depth_m"], float("inf")).alias("median_depth_m"),
+            x["quality"].alias("quality"),
+            layer_occlusion(x, f).alias("occlusion"),
+        ),
+    )
+    accepted = painted.filter(F.size("_codes") == 0).select(
         "sample_id", order, "scene_name", "frame_index", "camera_id",
         F.transform("asset_layers", lambda x: x["obj_id"]).alias("selected_obj_ids"),
-        F.transform(
-            F.arrays_zip("asset_layers", "occlusion"),
-            lambda z: F.struct(
-                z["asset_layers"]["obj_id"].alias("obj_id"),
-                z["asset_layers"]["instance_token"].alias("instance_token"),
-                z["asset_layers"]["asset_sha256"].alias("asset_sha256"),
-                z["asset_layers"]["official_dimensions_m"].alias("official_dimensions_m"),
-                z["asset_layers"]["forward_axis"].alias("forward_axis"),
-                nonzero_or(z["asset_layers"]["median_depth_m"], float("inf")).alias("median_depth_m"),
-                z["asset_layers"]["quality"].alias("quality"),
-                z["occlusion"].alias("occlusion"),
-            ),
-        ).alias("asset_layers"),
+        noted.alias("asset_layers"),
         "gt",
-        "input",
+        F.col("facts.input").alias("input"),
         "target",
-        F.struct(F.sha2("gt", 256).alias("gt"), F.sha2("input", 256).alias("input"), F.sha2("target", 256).alias("target")).alias(
-            "content_sha256"
-        ),
+        _shas(gt="gt", input="facts.input", target="target").alias("content_sha256"),
     )
-    return accepted, refused.unionByName(unpainted)
+    return accepted, refused(judged).unionByName(refused(painted))
 
 
 def attach_images(wanted: DataFrame, images: DataFrame) -> DataFrame:

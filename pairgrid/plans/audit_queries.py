@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from pairgrid.functions.hashing import manifest_digest
+from pairgrid.functions.hashing import bound_to_itself, kind_of, manifest_digest, value_sha
 from pairgrid.operators import audit, rings
 from pairgrid.plans import fixtures as fx
 from pairgrid.plans.fixture_sql import define, with_tables
@@ -111,7 +111,20 @@ def _layered(spark, sf):
         "sample_id", "scene_name", "frame_index", "q", "d", "t", "pk",
         F.when((F.col("d") == 1), F.lit("7")).otherwise(F.col("camera_id")).alias("camera_id"),
         F.when(F.col("t") != 1, F.transform("_l", lambda v: v["layer"])).alias("asset_layers"),
-        (F.col("q") != 50).alias("record_bound"),
+    )
+
+
+def _sealed(records):
+    """Records with their own hash. Some have none (as those with a number that JSON can't hold), and some are changed after."""
+    own = F.struct(*records.columns)
+    late = F.col("q") == 50
+    return records.withColumn("record_sha256", value_sha(own, kind_of(records, own))).withColumns(
+        {
+            "record_sha256": F.when(late & (F.col("pk") % 2 == 0), F.sha2("sample_id", 256)).when(
+                F.col("q") != 44, F.coalesce("record_sha256", F.when(late, F.sha2("sample_id", 256)))
+            ),
+            "frame_index": F.when(late & (F.col("pk") % 2 == 1), F.col("frame_index") + 1).otherwise(F.col("frame_index")),
+        }
     )
 
 
@@ -122,8 +135,15 @@ def _reviews(records):
         F.lit(True).alias("scale_valid"), F.lit(True).alias("grounding_valid"), F.lit(False).alias("severe_occlusion_error"),
         F.lit(0.5).alias("confidence"), F.lit("").alias("reason"),
     )
-    return records.select(
-        "sample_id", good.alias("decision"), F.col("q").isin(48, 49).alias("hard_failure"), (F.col("q") != 47).alias("decision_bound")
+    rows = records.select("sample_id", good.alias("decision"), F.col("q").isin(48, 49).alias("hard_failure"), "q", "pk")
+    own = F.struct("sample_id", "decision", "hard_failure")
+    # The forty-seventh are changed after they were signed: the confidence, or the hash.
+    late = F.col("q") == 47
+    return rows.withColumn("decision_sha256", value_sha(own, kind_of(rows, own))).select(
+        "sample_id",
+        F.when(late & (F.col("pk") % 2 == 0), F.col("decision").withField("confidence", F.lit(0.25))).otherwise(F.col("decision")).alias("decision"),
+        "hard_failure",
+        F.when(late & (F.col("pk") % 2 == 1), F.sha2("sample_id", 256)).otherwise(F.col("decision_sha256")).alias("decision_sha256"),
     )
 
 
@@ -148,7 +168,7 @@ define("record_errors", ("layered",), """
 @query("p24_record_errors", with_tables(("record_errors",), """
   SELECT sample_id, array_to_string(errors, ',') AS errors FROM record_errors"""))
 def _(spark, sf):
-    records = _layered(spark, sf)
+    records = staged(_sealed(_layered(spark, sf)), "sealed")
     return audit.record_errors(records, _reviews(records)).withColumn("errors", F.concat_ws(",", "errors"))
 
 
@@ -156,15 +176,26 @@ def _(spark, sf):
   SELECT sample_id, array_to_string(CASE WHEN q <= 12 THEN list_sort(list_append(errors, 'visual_review_missing')) ELSE errors END, ',') AS errors
   FROM record_errors"""))
 def _(spark, sf):
-    records = _layered(spark, sf)
+    records = staged(_sealed(_layered(spark, sf)), "sealed")
     return audit.record_errors(records, _reviews(records.filter("q > 12"))).withColumn("errors", F.concat_ws(",", "errors"))
 
 
 @query("j15_reviews", with_tables(("record_errors",), """
-  SELECT sample_id, 'missing' AS side FROM record_errors WHERE q <= 12"""))
+  SELECT sample_id, 'missing' AS side FROM record_errors WHERE q <= 12
+  UNION ALL SELECT sample_id || '__stray', 'extra' FROM record_errors WHERE q = 30"""))
 def _(spark, sf):
     records = _layered(spark, sf)
-    return audit.review_membership(records, _reviews(records.filter("q > 12")))
+    reviews = _reviews(records.filter("q > 12"))
+    stray = reviews.join(records.filter("q = 30").select("sample_id"), "sample_id").withColumn("sample_id", F.concat("sample_id", F.lit("__stray")))
+    return audit.review_membership(records, reviews.unionByName(stray))
+
+
+@query("j15_bindings", with_tables(("record_errors",), """
+  SELECT sample_id, q <> 47 AS bound FROM record_errors WHERE q > 12"""))
+def _(spark, sf):
+    reviews = _reviews(_layered(spark, sf).filter("q > 12"))
+    own = F.struct(*reviews.columns)
+    return reviews.select("sample_id", bound_to_itself(own, kind_of(reviews, own)).alias("bound"))
 
 
 define("rerun", ("records",), """
@@ -188,13 +219,15 @@ def _(spark, sf):
 def _release(spark, sf):
     """Layered records with the contents of their files, of which some are altered."""
     records = staged(
-        _layered(spark, sf).withColumn(
-            "content_sha256",
-            F.struct(
-                F.sha2(F.concat(F.lit("g"), F.col("pk").cast("string")), 256).alias("gt"),
-                F.sha2(F.concat(F.lit("i"), F.col("pk").cast("string")), 256).alias("input"),
-                F.sha2(F.concat(F.lit("t"), F.col("pk").cast("string")), 256).alias("target"),
-            ),
+        _sealed(
+            _layered(spark, sf).withColumn(
+                "content_sha256",
+                F.struct(
+                    F.sha2(F.concat(F.lit("g"), F.col("pk").cast("string")), 256).alias("gt"),
+                    F.sha2(F.concat(F.lit("i"), F.col("pk").cast("string")), 256).alias("input"),
+                    F.sha2(F.concat(F.lit("t"), F.col("pk").cast("string")), 256).alias("target"),
+                ),
+            )
         ),
         "layered",
     )
@@ -286,14 +319,18 @@ def _(spark, sf):
 
 @query("a19_cleanup", with_tables(("layers",), """
   SELECT sample_id, bool_and(q > 2) AS observation_technical_usable, bool_and(d > 0) AS quality_gate_pass,
-         string_agg(sha256(obj_id), ',' ORDER BY obj_id) AS sources FROM layers GROUP BY 1"""))
+         string_agg(sha256(obj_id), ',' ORDER BY obj_id) AS sources,
+         sha256('{"observation_technical_usable":' || bool_and(q > 2) || ',"policy":"union_of_hash_bound_legacy_actor_cleanup_masks_v1","quality_gate_pass":'
+           || bool_and(d > 0) || ',"schema_version":1,"source_decision_sha256":["' || string_agg(sha256(obj_id), '","' ORDER BY obj_id) || '"]}') AS decision_sha256
+  FROM layers GROUP BY 1"""))
 def _(spark, sf):
     x = fx.layers(spark, sf).select(
         "sample_id", F.col("obj_id").alias("ord"), F.when(F.col("q") > 2, F.lit(True)).alias("usable"), (F.col("d") > 0).alias("passed"),
         F.sha2("obj_id", 256).alias("decision_sha256"),
     )
     return audit.cleanup_rollup(x).select(
-        "sample_id", "observation_technical_usable", "quality_gate_pass", F.concat_ws(",", "source_decision_sha256").alias("sources")
+        "sample_id", "observation_technical_usable", "quality_gate_pass", F.concat_ws(",", "source_decision_sha256").alias("sources"),
+        "decision_sha256",
     )
 
 

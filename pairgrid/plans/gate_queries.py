@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pairgrid.functions import gates
+from pairgrid.functions import gates, hashing
 from pairgrid.functions.semantics import nonzero_or
 from pairgrid.operators.pixels import order_layers
 from pairgrid.plans import fixtures as fx
@@ -75,7 +75,13 @@ define("results", ("obs",), """
 def _results(spark, sf):
     o = fx.obs(spark, sf)
     q, d, pk = F.col("q"), F.col("d"), F.col("pk")
-    return o.select(
+    cleanup = F.struct(
+        F.when(q != 8, F.lit(True)).alias("observation_technical_usable"), (q != 9).alias("quality_gate_pass"), (d / 8.0).alias("share")
+    )
+    # The tenth is changed after it was signed: a field where d is even, else the hash.
+    own = hashing.signed(o, cleanup)
+    changed = F.when(d % 2 == 0, own.withField("share", F.col("share_before"))).otherwise(own.withField("decision_sha256", F.sha2("obj_id", 256)))
+    return o.withColumn("share_before", d / 8.0 + 0.25).select(
         "scene_name", "frame_index", "camera_id", "obj_id",
         F.concat_ws("__", "scene_name", "frame_index", "camera_id", "obj_id").alias("sample_id"),
         F.when(q == 3, F.lit("failed")).otherwise(F.lit("complete")).alias("status"),
@@ -87,11 +93,8 @@ def _results(spark, sf):
                 "normalized_time_seconds"
             ),
         ).alias("camera_exposure"),
-        F.struct(
-            F.when(q != 8, F.lit(True)).alias("observation_technical_usable"), (q != 9).alias("quality_gate_pass")
-        ).alias("original_actor_cleanup_receipt"),
+        F.when(q == 10, changed).otherwise(own).alias("original_actor_cleanup_receipt"),
         (F.col("t") != 0).alias("target_quality_gate_pass"),
-        (q != 10).alias("cleanup_bound"),
     )
 
 
@@ -106,7 +109,7 @@ def _(spark, sf):
     df = _results(spark, sf)
     return df.select(
         "scene_name", "frame_index", "camera_id", "obj_id",
-        F.concat_ws(",", gates.result_violations(F.struct(*df.columns), F.lit("main"), F.col("cleanup_bound"))).alias("codes"),
+        F.concat_ws(",", gates.result_violations(F.struct(*df.columns), df.schema, F.lit("main"))).alias("codes"),
     )
 
 
@@ -124,9 +127,10 @@ def _receipts(spark, sf):
         )
 
     declared = F.when(d >= 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return o.select(
+    plain = o.select(
         "scene_name", "frame_index", "camera_id", "obj_id", "q", "d", "t", "pk", "sk",
         F.struct(
+            (pk / 7.0).alias("target_center_depth_m"),
             F.when(t > 2, F.when(q == 50, F.lit(2)).otherwise(F.lit(1))).alias("schema_version"),
             F.when(q != 49, F.lit(gates.OCCLUSION_POLICY)).alias("policy"),
             (q != 48).alias("quality_gate_pass"),
@@ -155,6 +159,10 @@ def _receipts(spark, sf):
             ).alias("static_region_decisions"),
         ).alias("receipt"),
     )
+    # Where d is 0 a receipt is changed after it was signed: its depth, or its hash.
+    own = hashing.signed(plain, F.col("receipt"))
+    changed = F.when(pk % 2 == 0, own.withField("target_center_depth_m", pk / 7.0 + 1e-9)).otherwise(own.withField("decision_sha256", F.lit("")))
+    return plain.withColumn("receipt", F.when(d == 0, changed).otherwise(own))
 
 
 define("receipts", ("obs",), """
@@ -192,9 +200,10 @@ def _(spark, sf):
     CASE WHEN NOT (official_ok OR static_ok) OR q = 47 THEN 'no_independent_proof' END], lambda c: c IS NOT NULL), ',') AS codes
   FROM receipts"""))
 def _(spark, sf):
-    return _receipts(spark, sf).select(
+    df = _receipts(spark, sf)
+    return df.select(
         "scene_name", "frame_index", "camera_id", "obj_id",
-        F.concat_ws(",", gates.receipt_violations(F.col("receipt"), F.col("d") != 0)).alias("codes"),
+        F.concat_ws(",", gates.receipt_violations(F.col("receipt"), df.schema["receipt"].dataType)).alias("codes"),
     )
 
 

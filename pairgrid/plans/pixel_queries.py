@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pairgrid.functions import hashing
 from pairgrid.functions.semantics import to_byte
 from pairgrid.operators import pixels
 from pairgrid.plans import fixtures as fx
@@ -270,14 +271,30 @@ define("evidence_x9", ("hidden_labels", "depths"), f"""
          CASE WHEN selected >= least THEN selected ELSE 0 END AS selected_occlusion_pixels,
          CASE WHEN selected >= least THEN hidden ELSE 0 END AS renderer_verified_occlusion_pixels,
          CASE WHEN selected >= least THEN hidden - selected ELSE 0 END AS restored_asset_pixels,
-         CASE WHEN selected >= least THEN exact ELSE 0 END AS target_exact_overlap_pixels FROM evidence_x9"""))
+         CASE WHEN selected >= least THEN exact ELSE 0 END AS target_exact_overlap_pixels,
+         CASE WHEN selected >= least THEN 5.0::DOUBLE + ord END AS target_center_depth_m,
+         CASE WHEN selected >= least THEN sha256('{"absolute_depth_margin_m":0.3,"image_shape_hw":[8,8],"minimum_overlap_pixels":' || least
+           || ',"relative_depth_margin":0.02,"selected_occlusion_fraction":' || CAST(selected / CAST(full_px AS DOUBLE) AS VARCHAR)
+           || ',"target_center_depth_m":' || CAST(5.0::DOUBLE + ord AS VARCHAR) || ',"target_instance_token":"inst"}') END AS fields_sha256,
+         selected >= least AS bound FROM evidence_x9"""))
 def _(spark, sf):
     names = (
         "full_projected_pixels", "selected_occlusion_pixels", "renderer_verified_occlusion_pixels", "restored_asset_pixels",
         "target_exact_overlap_pixels",
     )
-    found = pixels.occlusion_receipts(_masked_layers(spark, sf), SIDE, SIDE)
-    return found.select("sample_id", "ord", "median_depth_m", *[F.coalesce(F.col(n).cast("bigint"), F.lit(0)).alias(n) for n in names])
+    found = pixels.occlusion_receipts(_masked_layers(spark, sf).withColumn("instance_token", F.lit("inst")), SIDE, SIDE)
+    signed = found.withColumn("receipt", pixels.receipt_struct(found, SIDE, SIDE))
+    kind, receipt = signed.schema["receipt"].dataType, F.col("receipt")
+    some = F.struct(*[receipt[n].alias(n) for n in (
+        "target_center_depth_m", "absolute_depth_margin_m", "relative_depth_margin", "minimum_overlap_pixels", "selected_occlusion_fraction",
+        "image_shape_hw", "target_instance_token",
+    )])
+    return signed.select(
+        "sample_id", "ord", "median_depth_m", *[F.coalesce(F.col(n).cast("bigint"), F.lit(0)).alias(n) for n in names],
+        receipt["target_center_depth_m"].alias("target_center_depth_m"),
+        F.when(receipt.isNotNull(), hashing.value_sha(some, hashing.kind_of(signed, some))).alias("fields_sha256"),
+        hashing.bound_to_itself(receipt, kind).alias("bound"),
+    )
 
 
 def _image(grey: Column) -> Column:
@@ -327,6 +344,7 @@ def _adapted(spark, sf) -> DataFrame:
         dark.alias("replacement"),
         F.lit(True).alias("usable"),
         (no % 11 != 0).alias("passed"),
+        F.sha2(F.concat_ws("|", F.lit("cleanup"), "sample_id", F.col("ord").cast("string")), 256).alias("cleanup_decision_sha256"),
         F.sha2("sample_id", 256).alias("target_sha256"),
         F.when((no % 13 == 0) & (F.col("ord") == 1), F.lit("other")).otherwise(F.lit("same")).alias("gt_sha256"),
     )
@@ -342,7 +360,6 @@ def _adapted(spark, sf) -> DataFrame:
             F.lit(10).alias("sample_data_timestamp_us"), F.lit(10).alias("camera_exposure_timestamp_us"), F.lit(1.5).alias("normalized_time_seconds")
         ).alias("camera_exposure"),
         F.lit(True).alias("target_quality_gate_pass"),
-        F.lit(True).alias("cleanup_bound"),
         plain.alias("target"),
         plain.alias("gt"),
     )
@@ -370,14 +387,25 @@ def _(spark, sf):
 
 
 def _composed(spark, sf):
-    """Compose the adapted samples, one layer of each at a time so that layers do not overlap."""
+    """Compose the adapted samples, one layer of each at a time so that layers do not overlap.
+
+    Some are changed after they were signed: cleanup and occlusion receipts, and the
+    declared hashes of sources and layers.
+    """
     adapted = _adapted(spark, sf)
     layer = F.explode("asset_layers").alias("_l")
+    no = F.substring("sample_id", 6, 20).cast("bigint")
+    cleanup, own, receipt = F.col("original_actor_cleanup_receipt"), F.col("_l"), F.col("_l.receipt")
+    forged = F.when(no % 2 == 0, receipt.withField("absolute_depth_margin_m", F.lit(0.2))).otherwise(receipt.withField("decision_sha256", F.sha2("sample_id", 256)))
+    changed = own.withField("receipt", F.when(receipt.isNotNull() & (no % 5 == 2), forged).otherwise(receipt)).withField(
+        "content_sha256.alpha", F.when(no % 9 == 4, F.sha2("sample_id", 256)).otherwise(F.col("_l.content_sha256.alpha"))
+    )
     single = adapted.select(*[c for c in adapted.columns if c != "asset_layers"], layer).withColumns(
         {
             "sample_id": F.concat_ws("__", "sample_id", "_l.obj_id"),
-            "asset_layers": F.array(F.col("_l").withField("receipt_bound", F.lit(True))),
-            "hash_code": F.lit(None).cast("string"),
+            "asset_layers": F.array(changed),
+            "original_actor_cleanup_receipt": F.when(no % 10 == 6, cleanup.withField("policy", F.lit("other"))).otherwise(cleanup),
+            "source_sha256": F.when(no % 8 == 3, F.col("source_sha256").withField("removed", F.lit("none"))).otherwise(F.col("source_sha256")),
         }
     ).withColumn("result_ord", F.col("sample_id")).drop("_l")
     return pixels.compose(single, "main", "result_ord", SIDE, SIDE)
@@ -403,7 +431,9 @@ define("solo_painted", ("solo",), f"""
            * (1::FLOAT - CASE WHEN coalesce(hidden, false) THEN 0::FLOAT ELSE {_F32.format('ab')} END) AS v FROM solo""")
 
 define("solo_outcome", ("solo_painted",), f"""
-  SELECT sample_id, CASE WHEN n % 13 = 0 AND layers > 1 THEN 'backgrounds_differ' WHEN n % 11 = 0 THEN 'invalid_cleanup_receipt' WHEN n % 7 = 0 THEN 'geometry_candidate'
+  SELECT sample_id, CASE WHEN n % 13 = 0 AND layers > 1 THEN 'backgrounds_differ' WHEN n % 11 = 0 OR n % 10 = 6 THEN 'invalid_cleanup_receipt'
+         WHEN n % 8 = 3 THEN 'source_hash_mismatch' WHEN n % 7 = 0 THEN 'geometry_candidate' WHEN n % 9 = 4 THEN 'layer_hash_mismatch'
+         WHEN n % 5 = 2 AND bool_or(masked) THEN 'receipt_binding_invalid'
          WHEN count_if(removed) < 20 THEN 'removal_ineffective'
          WHEN count_if(ab > 5 AND NOT coalesce(hidden, false)) < 20 OR count_if(ab > 5 AND NOT coalesce(hidden, false)) = 0 THEN 'not_materially_visible'
          WHEN count_if(v <> {_F32.format('bg')}) < 20 THEN 'insertion_ineffective' END AS reason,

@@ -1,5 +1,7 @@
 import hashlib
 import json
+import math
+import random
 import struct
 import zlib
 
@@ -128,7 +130,34 @@ def test_canonical_hash_equals_json_dumps(spark):
         body = json.dumps({"t": t, "n": n, "l": items}, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
         assert got[n] == hashlib.sha256(body.encode()).hexdigest()
     with pytest.raises(TypeError):
-        hashing.object_sha(spark.range(1), {"x": F.lit(0.1)})
+        hashing.object_sha(spark.range(1), {"x": F.lit(0.1).cast("decimal(3,1)")})
+
+
+def test_float_text_equals_repr(spark):
+    rng = random.Random(1)
+    values = [0.0, -0.0, 1.0, 0.1, 1e-5, 1e-4, 1e15, 1e16, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, 1e22, 1e23, 2e23]
+    values += [5.684341886080802e-14, 9.999999999999999e22, -1.5e-7, 9007199254740993.0, -1.3344444525294854e18, 3.0617315596860195e25]
+    values += [struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))[0] for _ in range(5000)]
+    values += [rng.random() * 10 ** rng.randint(-8, 33) for _ in range(3000)] + [2.0**k for k in range(-1074, 1000, 7)] + [math.nan, math.inf, -math.inf]
+    df = spark.createDataFrame(list(enumerate(values)), "i LONG, v DOUBLE")
+    got = {r.i: r.t for r in df.select("i", hashing.float_text(F.col("v")).alias("t")).collect()}
+    assert [got[i] for i in range(len(values))] == [repr(v) if math.isfinite(v) else None for v in values]
+
+
+def test_nested_values_hash_like_json_dumps(spark):
+    value = {"b": {"z": [1.5, None, 1e-7], "a": None, "é\"": True}, "m": {"y": 0.1, "x": 2.0}, "l": [[1], []], "n": 12345678901}
+    kind = "b STRUCT<z: ARRAY<DOUBLE>, a: STRING, `é\"`: BOOLEAN>, m MAP<STRING, DOUBLE>, l ARRAY<ARRAY<INT>>, n LONG"
+    body = json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    df = spark.createDataFrame([value], kind)
+    whole = F.struct(*[F.col(c) for c in df.columns])
+    assert df.select(hashing.canonical_text(whole, hashing.kind_of(df, whole))).first()[0] == body
+    own = df.select(hashing.signed(df, whole.withField("decision_sha256", F.lit(""))).alias("s"))
+    kind = own.schema["s"].dataType
+    bound = lambda c: own.select(hashing.bound_to_itself(c, kind)).first()[0]
+    assert own.first().s.decision_sha256 == hashlib.sha256(body.encode()).hexdigest()
+    assert bound(F.col("s")) and not bound(F.col("s").withField("n", F.lit(1).cast("long"))) and not bound(F.col("s").withField("decision_sha256", F.lit("x")))
+    broken = df.withColumn("m", F.create_map(F.lit("x"), F.lit(math.nan)))
+    assert broken.select(hashing.canonical_text(whole, hashing.kind_of(broken, whole))).first()[0] is None
 
 
 def test_source_line_hashes_keep_float_text(spark):
