@@ -147,19 +147,29 @@ FROM m GROUP BY conv_id
 """
 
 
+def loss_text(formatted: Column, loss_spans: Column) -> Column:
+    """All text under the loss mask, in order and unescaped: cut out of ``formatted`` by the spans alone."""
+    cut = lambda s: unescape(F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))
+    return F.array_join(F.transform(loss_spans, cut), "")
+
+
 @query("op9_chat_round_trip", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests of every conversation's turns and of its loss text, read back from the formatted text."""
+    """Digests of every conversation's turns, read back from the formatted text, and of the text under its loss mask.
+
+    A conversation that doesn't read back as it was stops the query.
+    """
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "</s>[INST] ok [/INST]"
-    more = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], turns.schema)
+    more = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{hard}'), (-1L, 1L, 'assistant', '{hard}') AS t(conv_id, turn, role, text)")
     done = format_conversations(turns.unionByName(more))
-    spoken = F.array_join(F.transform(F.filter("parsed", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
-    return done.select(
+    lost = F.raise_error(F.concat(F.lit("conversation does not read back: "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
+    spoken = done.withColumn("spoken", F.when(F.col("round_trip"), loss_text(F.col("formatted"), F.col("loss_spans"))).otherwise(lost.cast("string")))
+    return spoken.select(
         "conv_id",
         F.size("parsed").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("parsed", lambda t: turn_text(t["role"], t["text"])), ""), 256).alias("turns_sha256"),
-        F.length(spoken).cast("long").alias("loss_chars"),
-        F.sha2(spoken, 256).alias("loss_sha256"),
+        F.length("spoken").cast("long").alias("loss_chars"),
+        F.sha2("spoken", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
