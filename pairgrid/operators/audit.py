@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairgrid.functions.gates import cleanup_receipt, dimensions_ok, geometry_pass
@@ -494,10 +495,26 @@ def ring_audit_summary(groups: DataFrame, findings: DataFrame) -> DataFrame:
 # --- batches of user work ------------------------------------------------
 
 
+def run_windows(jobs: DataFrame, worker: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Hand a user's worker an iterator over the Arrow batches of one scene window at a time.
+
+    The worker sees the whole window, ordered by sample_id, and yields batches; no more
+    than a batch need be in memory, however many jobs a window has. What it leaves unread
+    is skipped.
+    """
+    window = ["scene_name", "window_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from worker(batches)
+
+    ordered = jobs.repartition(*window).sortWithinPartitions(*window, "sample_id")
+    return ordered.groupBy(*window).applyInArrow(run, schema)
+
+
 def run_batches(
     jobs: DataFrame, worker: Callable[[pd.DataFrame], pd.DataFrame], schema: str, max_rows: int | None = None
 ) -> DataFrame:
-    """Hand a user's worker the jobs of one scene window at a time, the whole window at once.
+    """Hand a user's worker the jobs of one scene window as one frame; :func:`run_windows` streams them.
 
     A worker that can take a window in parts may ask for ``max_rows``: windows of
     more jobs are then cut into about equal parts and spread over tasks.
@@ -511,23 +528,8 @@ def run_batches(
     key = [*window, "_part"]
     columns = jobs.columns
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
-        for batch in batches:
-            for _, rows in batch.groupby(key, sort=False):
-                if held is not None and tuple(held.iloc[0][key]) == tuple(rows.iloc[0][key]):
-                    held = pd.concat([held, rows])
-                    continue
-                if held is not None:
-                    yield worker(held[columns])
-                held = rows
-        if held is not None:
-            yield worker(held[columns])
-
-    return (
-        placed.drop("_parts")
-        .repartition(*key)
-        .sortWithinPartitions(*key, "sample_id")
-        .mapInPandas(run, schema)
-    )
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        return worker(rows[columns])
 
+    ordered = placed.drop("_parts").repartition(*key).sortWithinPartitions(*key, "sample_id")
+    return ordered.groupBy(*key).applyInPandas(run, schema)

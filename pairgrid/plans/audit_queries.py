@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pairgrid.functions.hashing import bound_to_itself, kind_of, manifest_digest, value_sha
@@ -462,3 +463,22 @@ def _toy_worker(rows: pd.DataFrame) -> pd.DataFrame:
 def _(spark, sf):
     jobs = single_jobs(spark, sf).select("sample_id", "scene_name", "window_id")
     return audit.run_batches(jobs, _toy_worker, "scene_name STRING, window_id STRING, size LONG, first_id STRING, last_id STRING")
+
+
+def _toy_stream(batches):
+    """One row a window, from its batches in order."""
+    size, first, last = 0, None, None
+    for batch in batches:
+        size += batch.num_rows
+        first = first if first is not None else {c: batch.column(c)[0].as_py() for c in batch.schema.names}
+        last = batch.column("sample_id")[-1].as_py()
+    yield pa.RecordBatch.from_pylist(
+        [{"scene_name": first["scene_name"], "window_id": first["window_id"], "size": size, "first_id": first["sample_id"], "last_id": last}]
+    )
+
+
+@query("e2_run_windows", with_tables(("jobs",), """
+  SELECT scene_name, window_id, count(*) AS size, min(sample_id) AS first_id, max(sample_id) AS last_id FROM jobs GROUP BY ALL"""))
+def _(spark, sf):
+    jobs = single_jobs(spark, sf).select("sample_id", "scene_name", "window_id")
+    return audit.run_windows(jobs, _toy_stream, "scene_name STRING, window_id STRING, size LONG, first_id STRING, last_id STRING")

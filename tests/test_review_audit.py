@@ -1,4 +1,5 @@
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pairgrid.operators import audit, review
@@ -78,6 +79,33 @@ def test_windows_stay_together_and_large_ones_are_cut(spark):
     assert (out.loc[out.window_id != "hot", "size"] == 10).all()
 
 
+def test_a_window_is_streamed_whole_and_in_order(spark):
+    jobs = spark.range(5000).select(
+        F.format_string("j%05d", F.col("id") * 7919 % 5000).alias("sample_id"), F.lit("s").alias("scene_name"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("w"), (F.col("id") % 30).cast("string"))).alias("window_id"),
+    )
+
+    def worker(batches):
+        seen, most, ordered, window = 0, 0, True, None
+        last = ""
+        for batch in batches:
+            ids = batch.column("sample_id").to_pylist()
+            ordered = ordered and ids == sorted(ids) and last <= ids[0]
+            last, window = ids[-1], batch.column("window_id")[0].as_py()
+            seen, most = seen + len(ids), max(most, len(ids))
+        yield pa.RecordBatch.from_pylist([{"window_id": window, "seen": seen, "most": most, "ordered": ordered}])
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = {r.window_id: r for r in audit.run_windows(jobs, worker, "window_id STRING, seen LONG, most LONG, ordered BOOLEAN").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    wanted = {r.window_id: r["count"] for r in jobs.groupBy("window_id").count().collect()}
+    assert {k: r.seen for k, r in got.items()} == wanted
+    assert all(r.ordered for r in got.values()) and max(r.most for r in got.values()) <= 100
+
+
 def test_closeness_and_lengths(spark):
     df = spark.createDataFrame([([1.0, 2.0], [1.00001, 2.0]), ([1.0], [1.1]), ([1.0], [1.0, 2.0])], "a ARRAY<DOUBLE>, b ARRAY<DOUBLE>")
     assert [r[0] for r in df.select(audit.close_to(F.col("a"), F.col("b"))).collect()] == [True, False, False]
