@@ -273,3 +273,50 @@ def _(spark, sf):
 def _(spark, sf):
     path = F.concat(F.lit("root/gt/"), "sample_id", F.lit(".png"))
     return fx.records(spark, sf).select(sem.base_name(path).alias("name"), sem.stem(path).alias("stem"))
+
+
+define("scene_assets", ("obs",), """
+  SELECT scene_name, CAST(substr(scene_name, 7) AS INT) AS n, count(DISTINCT obj_id) AS assets FROM obs GROUP BY scene_name""")
+
+
+@query("s3_handoffs", with_tables(("scene_assets",), """
+  SELECT scene_name, code, CASE WHEN code IS NULL THEN assets - CASE WHEN n % 4 = 1 THEN 1 ELSE 0 END ELSE 0 END AS assets FROM (
+    SELECT *, CASE WHEN n % 11 = 5 THEN 'not_complete' WHEN n % 7 = 3 THEN 'manifest_hash_mismatch'
+                   WHEN n % 5 = 2 AND n % 2 = 1 THEN 'quarantine_hash_mismatch' END AS code FROM scene_assets)"""))
+def _(spark, sf):
+    """A hand-off for each scene, in three shapes; some incomplete or with a hash of other bytes."""
+    root = scratch_path(spark, "handoffs")
+    scenes = fx.obs(spark, sf).select("scene_name", "obj_id").distinct()
+    scenes.select("scene_name", F.to_json(F.struct("obj_id")).alias("value")).repartition("scene_name").write.partitionBy("scene_name").text(f"{root}/manifests")
+    files = readers.read_content(spark, f"{root}/manifests/*/*.txt")
+    n = F.substring("scene_name", 7, 10).cast("int")
+    named = files.select("path", "sha256", F.regexp_extract("path", "scene_name=([^/]*)/", 1).alias("scene_name")).join(
+        scenes.groupBy("scene_name").agg(F.min("obj_id").alias("first")), "scene_name"
+    )
+    declared = F.when(n % 7 == 3, F.sha2("sha256", 256)).otherwise(F.col("sha256"))
+    shape = lambda k, c: F.when(n % 3 == k, c)
+    body = F.to_json(
+        F.struct(
+            F.when(n % 11 == 5, "partial").otherwise("complete").alias("status"),
+            shape(0, F.col("path")).alias("manifest"),
+            shape(0, declared).alias("manifest_sha256"),
+            shape(1, F.struct(F.struct(F.col("path").alias("path"), declared.alias("sha256")).alias("exact_asset_manifest"))).alias("outputs"),
+            shape(2, F.col("path")).alias("exact_asset_manifest"),
+            shape(2, declared).alias("exact_asset_manifest_sha256"),
+            F.when(n % 4 == 1, F.array("first")).alias("excluded_asset_ids"),
+            F.when(n % 5 == 2, F.col("path")).alias("quarantine_manifest"),
+            F.when(n % 5 == 2, F.when(n % 2 == 1, F.lit("0")).otherwise(F.col("sha256"))).alias("quarantine_manifest_sha256"),
+        )
+    )
+    named.select("scene_name", body.alias("value")).repartition("scene_name").write.partitionBy("scene_name").text(f"{root}/documents")
+    handoffs = readers.read_handoffs(spark, f"{root}/documents/*/*.txt")
+    resolved = readers.resolve_handoffs(handoffs, files)
+    rows = spark.read.schema("obj_id STRING").json(f"{root}/manifests/*/*.txt").select(
+        readers.one_slash(F.col("_metadata.file_path")).alias("manifest"), "obj_id"
+    )
+    sound = resolved.where(F.col("code").isNull()).select("path", "manifest")
+    left = rows.join(sound, "manifest").join(readers.handoff_exclusions(handoffs).withColumnRenamed("asset_id", "obj_id"), ["path", "obj_id"], "left_anti")
+    counts = left.groupBy("path").agg(F.count("*").alias("assets"))
+    return resolved.join(counts, "path", "left").select(
+        F.regexp_extract("path", "scene_name=([^/]*)/", 1).alias("scene_name"), "code", F.coalesce("assets", F.lit(0)).alias("assets")
+    )
