@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from pairgrid.functions import arrays
+from pairgrid.functions import arrays, png
 from pairgrid.functions.gates import (
     OCCLUSION_POLICY,
     STATIC_EVIDENCE,
@@ -198,6 +198,21 @@ def decode_pixels(images: DataFrame) -> DataFrame:
     return good.mapInPandas(run, "path STRING, width INT, height INT, channels INT, pixels BINARY")
 
 
+_DECODED = pa.struct([("width", pa.int32()), ("height", pa.int32()), ("channels", pa.int32()), ("pixels", pa.binary()), ("code", pa.string())])
+
+
+def decode_png_column(files: DataFrame, content: str = "content") -> DataFrame:
+    """width, height, channels, pixels and code of PNG bytes that any table holds in ``content``.
+
+    Channels are in file order. A row whose bytes can't be read has a code and no pixels;
+    other columns stay, and columns named as the new ones are replaced.
+    """
+    kept = [c for c in files.columns if c not in _DECODED.names]
+    return with_kernel(files.select(*kept), "_decoded", _DECODED, [content], lambda row: png.decode(row[content])).select(
+        *[c for c in kept if c != content], "_decoded.*"
+    )
+
+
 def components(masks: DataFrame, height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH) -> DataFrame:
     """Components of every mask with their sizes; ``mask`` is one byte per pixel, above zero is set."""
     keys = [c for c in masks.columns if c != "mask"]

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from pairgrid.functions import hashing, semantics as sem
 from pairgrid.operators import release
-from pairgrid.operators.pixels import pack
+from pairgrid.operators.pixels import decode_png_column, pack
 from pairgrid.plans import fixtures as fx
 from pairgrid.plans.fixture_sql import define, with_tables
-from pairgrid.plans.pixel_queries import SIDE
+from pairgrid.plans.pixel_queries import _BYTE, SIDE
 from pairgrid.plans.registry import query
 from pairgrid.session import scratch_path
 from pairgrid.sources import readers, writers
@@ -188,18 +188,34 @@ def _png(grey: bytes, no: int) -> bytes:
     return body if kind == 3 else b"\x89PNG\r\n\x1a\n" + body
 
 
-@query("p23_png_violations", with_tables(("tiles",), """
-  SELECT * FROM (SELECT DISTINCT sample_id, ord, CASE (CAST(substr(sample_id, 6) AS BIGINT) * 3 + ord) % 4
-    WHEN 1 THEN 'not_rgb' WHEN 2 THEN 'wrong_dimensions' WHEN 3 THEN 'not_png' END AS codes FROM tiles) WHERE codes IS NOT NULL"""))
-def _(spark, sf):
+def _png_files(spark, sf):
+    """PNG bytes of every tile, in a column."""
+
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             content = [_png(g, int(s[5:]) * 3 + int(o)) for s, o, g in zip(b["sample_id"], b["ord"], b["image"])]
             yield pd.DataFrame({"sample_id": b["sample_id"], "ord": b["ord"], "content": content})
 
     tiles = fx.tiles(spark, sf).withColumn("byte", sem.to_byte(F.col("alpha")))
-    files = pack(tiles, ["sample_id", "ord"], "byte").mapInPandas(encode, "sample_id STRING, ord INT, content BINARY")
-    return readers.png_violations(files, SIDE, SIDE).withColumn("codes", F.concat_ws(",", "codes"))
+    return pack(tiles, ["sample_id", "ord"], "byte").mapInPandas(encode, "sample_id STRING, ord INT, content BINARY")
+
+
+@query("p23_png_violations", with_tables(("tiles",), """
+  SELECT * FROM (SELECT DISTINCT sample_id, ord, CASE (CAST(substr(sample_id, 6) AS BIGINT) * 3 + ord) % 4
+    WHEN 1 THEN 'not_rgb' WHEN 2 THEN 'wrong_dimensions' WHEN 3 THEN 'not_png' END AS codes FROM tiles) WHERE codes IS NOT NULL"""))
+def _(spark, sf):
+    return readers.png_violations(_png_files(spark, sf), SIDE, SIDE).withColumn("codes", F.concat_ws(",", "codes"))
+
+
+@query("s5_decoded_png", with_tables(("tiles",), f"""
+  SELECT sample_id, ord, CASE kind WHEN 3 THEN NULL WHEN 2 THEN 16 ELSE 8 END AS width, CASE kind WHEN 3 THEN NULL WHEN 1 THEN 1 ELSE 3 END AS channels,
+         CASE kind WHEN 3 THEN 'not_png' END AS code,
+         CASE WHEN kind <> 3 THEN sha256(unhex(string_agg(CASE WHEN kind = 1 THEN h ELSE repeat(h, 3) END, '' ORDER BY y, k, x))) END AS sha256
+  FROM (SELECT sample_id, ord, y, x, printf('%02x', {_BYTE.format('alpha')}) AS h, (CAST(substr(sample_id, 6) AS BIGINT) * 3 + ord) % 4 AS kind FROM tiles)
+  JOIN range(2) c(k) ON k = 0 OR kind = 2 GROUP BY sample_id, ord, kind"""))
+def _(spark, sf):
+    decoded = decode_png_column(_png_files(spark, sf))
+    return decoded.select("sample_id", "ord", "width", "channels", "code", F.sha2("pixels", 256).alias("sha256"))
 
 
 @query("f1_content_hash", "SELECT doc_id, sha256(text) AS sha256 FROM documents")
