@@ -145,7 +145,7 @@ def canonical_text(c: Column, kind: T.DataType, without: str = "") -> Column:
     apart, so the expression does not grow with the number of floats.
     """
     written = F.to_json(F.array(_ordered(c, kind, without)), {"ignoreNullFields": "false"})
-    other = r"[0-9]E-?[0-9]|[0-9.]{17}"
+    other = r"\.[0-9]{9}|[0-9]{8}\.|[0-9]E"  # holds for every number of 16 digits or with an exponent
     is_float = lambda x: ~x.startswith('"') & F.contains(x, F.lit(".")) & (F.contains(x, F.lit("E")) | (F.length(x) > 16))
     parts = lambda out: F.transform(
         F.regexp_extract_all(out, F.lit(_PARTS), F.lit(0)), lambda x: F.when(is_float(x), float_text(F.when(is_float(x), x).cast("double"))).otherwise(x)
