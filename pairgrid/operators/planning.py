@@ -31,8 +31,10 @@ from pairgrid.session import staged
 WINDOW = ["scene_name", "window_id"]
 CELL = ["scene_name", "window_id", "frame_index", "camera_id"]
 
-# Combinations unfolded inside one row before they become rows of their own.
+# Selections that are numbered and decoded together.
 _FOLD = 4096
+# Objects in one long of a mask.
+_WORD = 63
 
 
 def field(df: DataFrame, path: str, kind: str) -> Column:
@@ -377,46 +379,38 @@ def variants(members: DataFrame) -> DataFrame:
 def enumerate_combinations(instance_variants: DataFrame, max_enumeration: int | None = None) -> DataFrame:
     """All selections of a window: none or one variant per instance, not all none.
 
-    Each window's choices are unfolded a bounded step at a time, so no row ever
-    holds more than 4096 selections. After the first step the partial selections
-    of large windows are dealt out, so one window keeps many tasks busy. The
-    largest window decides how many steps there are, which takes one pass over
-    the windows. Nothing is left out; a caller that wants a window of more than
-    ``max_enumeration`` selections to fail by name can say so.
+    The selections of a window are numbered by mixed radix: the digit of an instance
+    says which of its variants is taken, zero that none is. Ranges of at most 4096
+    numbers are dealt to the tasks and each number is decoded where it lands, so no
+    row holds more than one selection and a large window keeps every task busy.
+    Nothing is left out; a caller that wants a window of more than
+    ``max_enumeration`` selections to fail by name can say so, and one whose numbers
+    don't fit 62 bits always does.
     """
-    bits = F.sum(F.log2(F.size("objects") + 1))
-    windows = instance_variants.groupBy(*WINDOW).agg(
-        F.sort_array(F.collect_list(F.struct("instance_token", "objects"))).alias("_v"),
-        F.sum(F.size("objects")).alias("member_count"),
-        bits.alias("_bits"),
-    )
-    choices = F.transform("_v", lambda v: v["objects"])
-    if max_enumeration is not None:
-        error = F.raise_error(F.concat(F.lit("too many combinations in "), F.concat_ws(":", *WINDOW)))
-        choices = F.when(F.col("_bits") <= math.log2(max_enumeration) + 1e-9, choices).otherwise(error)
-    windows = staged(windows.select(*WINDOW, "member_count", "_bits", choices.alias("rest")), "windows")
-    # Two steps in a row unfold more than _FOLD, or the window ends.
-    most = windows.agg(F.max("_bits")).first()[0] or 0.0
-    rounds = max(1, 2 * math.ceil((most + 1e-9) / math.log2(_FOLD)) - 1)
-    rows = windows.select(*WINDOW, "member_count", F.array().cast("array<string>").alias("sel"), "rest")
-    # How many leading instances fit one step (at least one while any is left).
-    step = f"""aggregate(rest, named_struct('p', 1D, 'k', 0),
-        (a, v) -> if(a.p * (size(v) + 1) <= {_FOLD} or a.k = 0,
-                     named_struct('p', a.p * (size(v) + 1), 'k', a.k + 1),
-                     named_struct('p', double('Infinity'), 'k', a.k)), a -> a.k)"""
-    unfold = """aggregate(slice(rest, 1, k), array(sel), (acc, vs) ->
-        concat(acc, flatten(transform(acc, a -> transform(vs, v -> concat(a, array(v)))))))"""
-    for done in range(rounds):
-        if done == 1:
-            # A stated number, as adaptive execution would coalesce rows that are few until unfolded.
-            parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            rows = rows.repartition(parts, *WINDOW, "sel")
-        rows = (
-            rows.withColumn("k", F.expr(step))
-            .select(*WINDOW, "member_count", F.explode(F.expr(unfold)).alias("next"), F.expr("slice(rest, k + 1, size(rest))").alias("rest"))
-            .withColumnRenamed("next", "sel")
+    places = "aggregate(choices, array(1L), (a, v) -> concat(a, array(element_at(a, -1) * (size(v) + 1))))"
+    error = F.raise_error(F.concat(F.lit("too many combinations in "), F.concat_ws(":", *WINDOW))).cast("array<bigint>")
+    most = math.log2(max_enumeration) if max_enumeration is not None else 62
+    windows = (
+        instance_variants.groupBy(*WINDOW)
+        .agg(
+            F.sort_array(F.collect_list(F.struct("instance_token", "objects"))).alias("v"),
+            F.sum(F.size("objects")).alias("member_count"),
+            F.sum(F.log2(F.size("objects") + 1)).alias("bits"),
         )
-    return rows.filter(F.size("sel") > 0).select(*WINDOW, F.sort_array("sel").alias("selected"), "member_count")
+        .select(*WINDOW, "member_count", "bits", F.transform("v", lambda v: v["objects"]).alias("choices"))
+        .withColumn("places", F.when(F.col("bits") <= min(most, 62) + 1e-9, F.expr(places)).otherwise(error))
+    )
+    # Wide ranges first, as one window may have more ranges than an array should hold.
+    wide = windows.withColumn("first", F.explode(F.expr(f"sequence(0L, element_at(places, -1) - 1, {_FOLD * _FOLD}L)")))
+    end = f"least(first + {_FOLD * _FOLD}L, element_at(places, -1)) - 1"
+    ranges = wide.withColumn("first", F.explode(F.expr(f"sequence(first, {end}, {_FOLD}L)")))
+    # A stated number, as adaptive execution would coalesce rows that are few until unfolded.
+    parts = int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = ranges.repartition(parts, *WINDOW, "first")
+    numbered = dealt.withColumn("number", F.explode(F.expr(f"sequence(first, least(first + {_FOLD}L, element_at(places, -1)) - 1)")))
+    taken = "transform(choices, (v, i) -> get(v, cast((number div places[i]) % (size(v) + 1) as int) - 1))"
+    selected = F.sort_array(F.filter(F.expr(taken), lambda o: o.isNotNull()))
+    return numbered.filter("number > 0").select(*WINDOW, selected.alias("selected"), "member_count")
 
 
 def selection_rank_key(seed: int) -> Column:
@@ -457,22 +451,50 @@ def ordered_selections(selections: DataFrame) -> DataFrame:
     return selections.orderBy(*WINDOW, F.size("selected"), "selected")
 
 
+def object_mask(objects: Column, wanted: Column) -> Column:
+    """Which of ``objects`` are ``wanted``, as bits of as many longs as are needed."""
+    word = lambda w: F.aggregate(
+        F.transform(
+            F.slice(objects, w * _WORD + 1, F.lit(_WORD)),
+            lambda o, i: F.when(F.array_contains(wanted, o), F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")),
+        ),
+        F.lit(0).cast("long"),
+        lambda a, b: a.bitwiseOR(b),
+    )
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(objects) - 1) / _WORD).cast("int")), word)
+
+
 def project_combinations(combinations: DataFrame, jobs: DataFrame) -> DataFrame:
     """Combinations of a window on each (frame, camera) that shows all their objects.
 
-    The join goes through the first object of a selection, so a cell meets only
-    selections that start with an object it shows. A cell holds the objects of
-    one view, which the enumeration has already bounded.
+    The objects of a window are numbered in order; a cell and a selection are bit masks
+    over them, and a selection is shown where its mask lies in the cell's. The join
+    goes through the first object of a selection, so a cell meets only selections that
+    start with an object it shows; it carries masks and numbers. ``members``, with the
+    assets and images of the selected objects, is attached to what is left. A window's
+    objects are bounded by the enumeration.
     """
-    member = F.struct("obj_id", F.get("assets", F.lit(0)).alias("asset"), "review_images")
-    shown = jobs.groupBy(*CELL).agg(F.collect_list(member).alias("members"))
-    anchored = shown.withColumn("anchor", F.explode(F.transform("members", lambda m: m["obj_id"])))
-    wanted = combinations.select(*WINDOW, "selected", F.get("selected", F.lit(0)).alias("anchor"))
-    return (
-        anchored.join(wanted, [*WINDOW, "anchor"])
-        .filter(F.size(F.array_except("selected", F.transform("members", lambda m: m["obj_id"]))) == 0)
-        .select(*CELL, "selected", "members")
+    objects = jobs.groupBy(*WINDOW).agg(F.sort_array(F.collect_set("obj_id")).alias("objects"))
+    first = F.array_position("objects", F.get("selected", F.lit(0)))
+    wanted = (
+        combinations.join(objects, WINDOW)
+        .filter(F.size(F.array_except("selected", "objects")) == 0)
+        .select(*WINDOW, first.alias("anchor"), "selected", object_mask(F.col("objects"), F.col("selected")).alias("asked"))
     )
+    cells = (
+        jobs.groupBy(*CELL)
+        .agg(F.collect_set("obj_id").alias("ids"))
+        .join(objects, WINDOW)
+        .withColumn("shown", object_mask(F.col("objects"), F.col("ids")))
+        .withColumn("anchors", F.transform("ids", lambda o: F.array_position("objects", o)))
+        .select(*CELL, "shown", F.explode("anchors").alias("anchor"))
+    )
+    inside = F.expr("forall(zip_with(asked, shown, (a, s) -> a & ~s), x -> x = 0)")
+    hits = cells.join(wanted, [*WINDOW, "anchor"]).filter(inside).select(*CELL, "selected")
+    member = F.struct("obj_id", F.get("assets", F.lit(0)).alias("asset"), "review_images")
+    bound = jobs.groupBy(*CELL).agg(F.collect_list(member).alias("all_members"))
+    chosen = F.filter("all_members", lambda m: F.array_contains("selected", m["obj_id"]))
+    return hits.join(bound, CELL).select(*CELL, "selected", chosen.alias("members"))
 
 
 def combination_jobs(projected: DataFrame) -> DataFrame:

@@ -80,6 +80,29 @@ def test_a_large_window_is_unfolded_on_several_tasks(spark):
     assert found.select(F.spark_partition_id()).distinct().count() > 1
 
 
+def test_a_window_that_cannot_be_numbered_fails_by_name(spark):
+    variants = members(spark, [(f"i{k}", f"o{k}") for k in range(63)])
+    with pytest.raises(Exception, match="too many combinations in s:w000001"):
+        planning.enumerate_combinations(variants).count()
+
+
+def test_projection_needs_every_object_of_a_selection(spark):
+    # 130 objects in the window take three longs of a mask.
+    names = [f"o{k:03}" for k in range(130)]
+    shown = {("0", 0): names, ("0", 1): names[:-1], ("1", 0): names[60:70], ("1", 1): [names[0], names[129]]}
+    rows = [("s", "w", f, c, o, [{"asset_id": o}], {"source": o}) for (c, f), objects in shown.items() for o in objects]
+    jobs = spark.createDataFrame(
+        rows, "scene_name STRING, window_id STRING, frame_index INT, camera_id STRING, obj_id STRING,"
+        "assets ARRAY<STRUCT<asset_id: STRING>>, review_images MAP<STRING, STRING>"
+    )
+    picks = [names, names[62:64], [names[0], names[129]], [names[61], "elsewhere"], [names[69], names[70]]]
+    wanted = spark.createDataFrame([("s", "w", p) for p in picks] + [("s", "other", names[:2])], "scene_name STRING, window_id STRING, selected ARRAY<STRING>")
+    found = planning.project_combinations(wanted, jobs).collect()
+    got = sorted((r.camera_id, r.frame_index, r.selected) for r in found)
+    assert got == sorted((c, f, p) for (c, f), objects in shown.items() for p in picks if set(p) <= set(objects))
+    assert all(sorted(m.review_images["source"] for m in r.members) == r.selected for r in found)
+
+
 def test_strict_plan_refuses_repeated_bindings(spark):
     twice = two_assets(spark).unionByName(two_assets(spark).limit(1))
     with pytest.raises(ValueError, match="several assets"):
