@@ -4,7 +4,7 @@ A gear hash rolls over the bytes of a text. A chunk ends where the hash has cert
 bits clear: many bits before the normal size, few after it, so that sizes stay near
 it; a chunk is never shorter than the least size nor longer than the largest. As a
 boundary depends on the last 32 bytes only, an edit moves the boundaries around it and
-leaves the others. A fingerprint is the set of chunk digests, each with the chunk's
+leaves the others. A fingerprint is the set of 64-bit chunk digests, each with the chunk's
 length; the likeness of two fingerprints is the length of what they share as a part of
 the shorter one (containment).
 """
@@ -12,6 +12,7 @@ the shorter one (containment).
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +26,7 @@ from pairgrid.llm.common import free_buffers, query, short_batches, table, whole
 
 @dataclass(frozen=True)
 class Chunking:
-    """Sizes in bytes; ``strict`` and ``loose`` are the clear bits asked for before and after ``normal``."""
+    """Sizes in bytes, 255 at most; ``strict`` and ``loose`` are the clear bits asked for before and after ``normal``."""
 
     least: int = 16
     normal: int = 32
@@ -77,13 +78,14 @@ def chunk_set(text: str, gear: np.ndarray, how: Chunking) -> dict[int, int]:
 
     data = text.encode()
     ends = boundaries(data, gear, how)
-    return {xxhash.xxh32_intdigest(data[a:b]): b - a for a, b in zip([0, *ends], ends)}
+    return {xxhash.xxh64_intdigest(data[a:b]): b - a for a, b in zip([0, *ends], ends)}
 
 
 def shown(chunks: dict[int, int]) -> str:
-    """Chunks in order of their digests, ten hex digits each: eight of digest, two of length."""
-    packed = np.sort(np.array([d << 8 | n for d, n in chunks.items()], dtype=np.uint64))
-    return packed.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes().hex()
+    """Chunks in order of their digests, eighteen hex digits each: sixteen of digest, two of length."""
+    packed = np.zeros(len(chunks), dtype=[("digest", ">u8"), ("length", "u1")])
+    packed["digest"], packed["length"] = np.array(list(chunks), dtype=np.uint64), list(chunks.values())
+    return packed[np.argsort(packed["digest"])].tobytes().hex()
 
 
 def likeness(a: dict[int, int], b: dict[int, int]) -> float:
@@ -131,41 +133,53 @@ def _compared(how: Chunking):
     return run
 
 
+_KEY = "array<struct<known: boolean, doc_id: bigint, tie: bigint>>"
+
+
+def _heads(keys: DataFrame, ranges: int) -> str:
+    """First key of each range of the falling order, as JSON: at most ``ranges`` keys, whatever the table's size."""
+    dealt = keys.repartitionByRange(ranges, F.col("key").desc()).select(F.spark_partition_id().alias("range"), "key")
+    heads = dealt.groupBy("range").agg(F.max("key").alias("key"))
+    listed = heads.agg(F.to_json(F.sort_array(F.collect_list("key"), asc=False)).alias("heads"))
+    return listed.first()["heads"]
+
+
 def compare_with_next(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", how: Chunking = Chunking(), rows_per_range: int = 4096
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", how: Chunking = Chunking(), ranges: int | None = None
 ) -> DataFrame:
     """Fingerprints of each text and of its edit, and how near it is to the edit and to the next text.
 
     Next is the following row by falling id (null ids last, equal ids by a hash of the
-    text); after the last row comes the first. A null text is an empty one. The table is
-    cut into ranges of ids of about ``rows_per_range`` rows. A range is read in order
-    as a stream, and ends with a copy of the row that begins the next range, so texts
-    are shuffled once and one text is held at a time. Returns doc_id, n_chars,
+    text); after the last row comes the first. A null text is an empty one. Spark deals
+    the keys to ``ranges`` ranges of that order (as many as the session's shuffle
+    partitions, if not given); what the driver learns is the first key of each. A
+    range is read in order as a stream, and ends with a copy of the row that begins the
+    next range, so texts are shuffled once and one text is held at a time. Only rows
+    equal in both id and text are sure to share a range. Returns doc_id, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. Other
     columns are ignored; an empty table gives an empty table.
     """
-    short_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    short_batches(spark)
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
-    n = texts.count()
-    ranges = max(1, -(-n // rows_per_range))
-    cuts = sorted(set(texts.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.1 / ranges))) if ranges > 1 else []
-    # Rank of a range from the top: how many cuts lie above the id; null ids form the last one.
-    above = F.size(F.filter(F.array([F.lit(int(c)) for c in cuts]), lambda c: c > F.col("doc_id"))) if cuts else F.lit(0)
-    keyed = texts.withColumn("range", F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(above)).withColumn("tie", F.xxhash64("text"))
-    # One row a range.
-    heads = keyed.groupBy("range").agg(F.max(F.struct("doc_id", "tie")).alias("head")).collect()
-    order = sorted(r["range"] for r in heads)
-    previous = {r: order[k - 1] for k, r in enumerate(order)}
-    after = docs.sparkSession.createDataFrame(
-        [(previous[r["range"]], r["range"], r["head"]["doc_id"], r["head"]["tie"]) for r in heads],
-        "into int, head_range int, head_id long, head_tie long",
+    key = F.struct(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.xxhash64("text").alias("tie"))
+    keyed = texts.withColumn("key", key)
+    listed = _heads(keyed.select("key"), ranges)
+    found = listed.count('"tie"')
+    heads = F.from_json(F.lit(listed), _KEY)
+    # Two steps of about sqrt(ranges) each: whole blocks of heads at or above the key, then single ones.
+    width = max(1, math.isqrt(found))
+    reached = lambda part: F.size(F.filter(part, lambda h: h >= F.col("key")))
+    lasts = F.filter(heads, lambda h, i: i % width == width - 1)
+    placed = keyed.withColumn("block", reached(lasts)).withColumn(
+        "range", F.col("block") * width + reached(F.slice(heads, F.col("block") * width + 1, F.lit(width))) - 1
     )
-    is_head = (F.col("range") == F.col("head_range")) & F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("tie") == F.col("head_tie"))
-    copies = keyed.join(F.broadcast(after), is_head).groupBy("into").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
-    own = keyed.select("range", F.lit(False).alias("extra"), "doc_id", "tie", "text")
-    tails = copies.select(F.col("into").alias("range"), F.lit(True).alias("extra"), "doc_id", F.lit(0).cast("long").alias("tie"), "text")
-    dealt = own.unionByName(tails).repartitionById(max(1, len(cuts) + 2), F.col("range"))
-    read = dealt.sortWithinPartitions("range", "extra", F.col("doc_id").desc_nulls_last(), F.col("tie").desc())
+    into = F.pmod(F.col("range") - 1, F.lit(max(1, found)))
+    begins = placed.where(F.col("key") == F.get(heads, F.col("range")))
+    copies = begins.select(into.alias("range"), F.lit(True).alias("extra"), "key", "doc_id", "text").dropDuplicates(["range"])
+    dealt = placed.select("range", F.lit(False).alias("extra"), "key", "doc_id", "text").unionByName(copies)
+    read = dealt.repartitionById(max(1, found), F.col("range")).sortWithinPartitions("range", "extra", F.col("key").desc())
     return read.select("doc_id", "extra", "text").mapInArrow(_compared(how), ", ".join(f"{f.name} {_SQL[f.type]}" for f in _OUT))
 
 

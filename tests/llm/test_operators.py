@@ -168,29 +168,65 @@ def test_allocation_is_the_cheapest():
 # --- fingerprints -----------------------------------------------------------------------
 
 
+def plain_chunks(data, gear, how):
+    """Chunk digests and lengths, byte by byte."""
+    found, at, h = {}, 0, 0
+    for k, byte in enumerate(data):
+        h = (2 * h + int(gear[byte])) % 2**32
+        n = k + 1 - at
+        clear = how.strict if n <= how.normal else how.loose
+        if k + 1 == len(data) or n == how.largest or (n >= how.least and h < 2 ** (32 - clear)):
+            found[xxhash.xxh64_hexdigest(data[at : k + 1])] = n
+            at = k + 1
+    return found
+
+
+def plain_likeness(a, b):
+    if not a or not b:
+        return float(a == b)
+    return sum(a[d] for d in set(a) & set(b)) / min(sum(a.values()), sum(b.values()))
+
+
 def test_content_chunks(spark):
     how, gear = fingerprints.Chunking(), fingerprints._gear(1)
     data = LONG.encode()
     slow = [sum(int(gear[data[i - k]]) << k for k in range(32) if i >= k) % (1 << 32) for i in range(300)]
     assert fingerprints.rolling(data[:300], gear).tolist() == slow
     ids = [5, None, 3, 3, *range(10, 10 + len(TEXTS) - 4)]
-    for rows in (1, 4, 4096):
-        out = fingerprints.compare_with_next(docs_of(spark, TEXTS, ids), rows_per_range=rows).collect()
+    for ranges in (1, 3, 8, 211):
+        docs = docs_of(spark, TEXTS, ids).withColumn("key", F.lit("x")).withColumn("range", F.lit(7))
+        out = fingerprints.compare_with_next(docs, ranges=ranges).collect()
         order = sorted(zip(ids, TEXTS), key=lambda p: (p[0] is None, -(p[0] or 0)))
         assert Counter(r.doc_id for r in out) == Counter(ids)
         for k, (name, text) in enumerate(order):
             if name == 3 or (k + 1 < len(order) and order[k + 1][0] == 3):
                 continue  # equal ids go by a hash of the text
-            following = order[(k + 1) % len(order)][1] or ""
-            edited = fingerprints.spliced(text or "", following)
+            own, following = text or "", order[(k + 1) % len(order)][1] or ""
+            edited = own[: len(own) - len(own) // 3] + following[: len(own) // 3]
             (r,) = [r for r in out if r.doc_id == name]
-            a, b, c = (fingerprints.chunk_set(t, gear, how) for t in (text or "", edited, following))
-            assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and r.n_chars == len(text or "")
-            assert (r.fingerprint, r.edited_fingerprint) == (fingerprints.shown(a), fingerprints.shown(b))
-            assert math.isclose(r.near_edited, fingerprints.likeness(a, b)) and math.isclose(r.near_next, fingerprints.likeness(a, c))
+            a, b, c = (plain_chunks(t.encode(), gear, how) for t in (own, edited, following))
+            assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and r.n_chars == len(own)
+            assert (r.fingerprint, r.edited_fingerprint) == tuple("".join(f"{d}{n:02x}" for d, n in sorted(x.items())) for x in (a, b))
+            assert math.isclose(r.near_edited, plain_likeness(a, b)) and math.isclose(r.near_next, plain_likeness(a, c))
     assert fingerprints.compare_with_next(empty(spark)).count() == 0
 
 
+def test_content_chunks_of_null_and_repeated_ids(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcdef ", k=200)) for _ in range(60)]
+    ids = [None] * 25 + [7] * 25 + list(range(10))
+    out = fingerprints.compare_with_next(docs_of(spark, texts, ids), ranges=6)
+    assert out.select(F.spark_partition_id()).distinct().count() == 6  # neither null nor one id is a range of its own
+    gear, how = fingerprints._gear(1), fingerprints.Chunking()
+    shown = {fingerprints.shown(fingerprints.chunk_set(t, gear, how)): (i, t) for i, t in zip(ids, texts)}
+    rows = out.collect()
+    assert {r.fingerprint for r in rows} == set(shown) and all(shown[r.fingerprint][0] == r.doc_id for r in rows)
+    # Each text follows exactly one other.
+    heads = {(shown[r.fingerprint][1][:134] + t[:66]): t for r in rows for t in texts}
+    followers = [t for r in rows for t in texts if r.edited_sha256 == hashlib.sha256((shown[r.fingerprint][1][:134] + t[:66]).encode()).hexdigest()]
+    assert sorted(followers) == sorted(texts) and len(heads) == len(texts) ** 2
+
+
 # --- language ---------------------------------------------------------------------------
 
 
