@@ -206,6 +206,28 @@ def record_violations(records: DataFrame) -> DataFrame:
     ).select("sample_id")
 
 
+def ring_refusals(records: DataFrame, jobs: DataFrame) -> DataFrame:
+    """What a strict ring build refuses: a code and the asset, alias or record it is about.
+
+    A manifest without a single usable camera, and a table without records, give a row
+    of their own with no subject.
+    """
+    used = F.exists(F.map_values("target_usable_by_frame_camera"), lambda v: is_true(v))
+    seen = jobs.agg(F.count_if(F.coalesce(used, F.lit(False))).alias("n"))
+    return (
+        visibility_violations(jobs).select("code", F.col("asset_id").alias("subject"))
+        .unionByName(category_conflicts(jobs).select(F.lit("changed_category").alias("code"), F.col("asset_id").alias("subject")))
+        .unionByName(alias_conflicts(jobs).select(F.lit("ambiguous_alias").alias("code"), F.col("alias").alias("subject")))
+        .unionByName(record_violations(records).select(F.lit("invalid_record").alias("code"), F.col("sample_id").alias("subject")))
+        .distinct()
+        .unionByName(seen.filter("n = 0").select(F.lit("no_evidence").alias("code"), F.lit(None).cast("string").alias("subject")))
+        .unionByName(
+            records.agg(F.count(F.lit(1)).alias("n")).filter("n = 0")
+            .select(F.lit("no_records").alias("code"), F.lit(None).cast("string").alias("subject"))
+        )
+    )
+
+
 def select_scenes(records: DataFrame, scenes: Sequence[str]) -> DataFrame:
     return records.filter(F.col("scene_name").isin(*scenes)) if scenes else records
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pairgrid.operators import rings
+from pairgrid.operators import ring_release, rings
 from pairgrid.plans import fixtures as fx
 from pairgrid.plans.fixture_sql import define, with_tables
 from pairgrid.plans.registry import query
-from pairgrid.session import staged
+from pairgrid.session import scratch_path, staged
+from pairgrid.sources import writers
 
 _COMMA = ","
 
@@ -335,3 +336,49 @@ def _(spark, sf):
 def _(spark, sf):
     records = staged(fx.records(spark, sf), "records")
     return rings.ring_summary(records, rings.ring_candidates(records, fx.visibility_jobs(spark, sf)))
+
+
+@query("g3_refusals", with_tables(("obs", "records"), """
+  SELECT 'invalid_record' AS code, sample_id AS subject FROM records WHERE q = 50
+  UNION SELECT 'no_category', 'uid-' || substr(obj_id, 5) FROM obs WHERE obj_no % 7 = 3 AND obj_no % 17 <> 4
+  UNION SELECT 'incomplete_identity', 'uid-' || substr(obj_id, 5) FROM obs WHERE obj_no % 17 = 4
+  UNION SELECT 'unknown_camera', 'uid-' || substr(obj_id, 5) FROM obs WHERE obj_no % 11 = 5
+  UNION SELECT 'changed_category', 'uid-' || substr(obj_id, 5) FROM obs WHERE obj_no % 13 = 2
+  UNION SELECT 'ambiguous_alias', instance_token FROM obs WHERE obj_no % 20 < 2 GROUP BY 2 HAVING count(DISTINCT obj_no) > 1"""))
+def _(spark, sf):
+    n = F.substring("obj_id", 5, 20).cast("bigint")
+    nothing = F.lit(None).cast("string")
+    category = F.when(n % 7 != 3, F.col("category"))
+    odd = F.create_map(F.lit("000000:c7"), F.lit(True))
+    seen = F.col("target_usable_by_frame_camera")
+    jobs = fx.visibility_jobs(spark, sf).withColumns(
+        {
+            "category": category,
+            "exact_asset_binding": F.col("exact_asset_binding").withField("category", category),
+            "scene_name": F.when(n % 17 != 4, F.col("scene_name")),
+            "instance_token": F.when(n % 20 < 2, F.format_string("inst-%06d", F.expr("cast(substring(obj_id, 5, 20) as bigint) div 2"))).otherwise(nothing),
+            "target_usable_by_frame_camera": F.when(n % 11 == 5, F.map_concat(seen, odd)).otherwise(seen),
+        }
+    )
+    other = jobs.filter(n % 13 == 2).withColumn("exact_asset_binding", F.col("exact_asset_binding").withField("category", F.lit("other")))
+    records = fx.records(spark, sf).withColumn("camera_id", F.when(F.col("q") == 50, "9").otherwise(F.col("camera_id")))
+    return rings.ring_refusals(records, jobs.unionByName(other))
+
+
+def _stored(records: DataFrame) -> DataFrame:
+    hashes = F.col("content_sha256")
+    each = F.explode(F.array(*[F.struct(F.lit(r).alias("role"), hashes[r].alias("sha256")) for r in ("gt", "input", "target")]))
+    return records.select("sample_id", each.alias("f")).select("sample_id", "f.*")
+
+
+@query("g4_publish_rings", with_tables(("ring_views",), """
+  SELECT group_id, camera_id, asset_visible, source_pair, source_baseline, input_sha, input_file FROM ring_views"""))
+def _(spark, sf):
+    records = staged(fx.records(spark, sf), "records")
+    dest = scratch_path(spark, "rings")
+    ring_release.publish_rings(records, fx.visibility_jobs(spark, sf), _stored(records), dest)
+    return writers.read_published(spark, f"{dest}/groups").select("group_id", F.explode("views").alias("v")).select(
+        "group_id", "v.camera_id", "v.asset_visible", F.col("v.source_pair_sample_id").alias("source_pair"),
+        F.col("v.baseline_sample_id").alias("source_baseline"), F.col("v.content_sha256.input").alias("input_sha"),
+        F.col("v.files.input").alias("input_file"),
+    )
