@@ -198,3 +198,8 @@ def test_both_asset_shapes(spark):
     one = planning.normalize_assets(nested, "/root/x").first()
     assert (one.asset_id, one.ply_path, one.ply_sha256, one.dimensions_m, one.forward_axis) == ("u", "/root/x/a/b.ply", "h" * 64, [1.0, 2.0, 3.0], "+X")
     assert planning.asset_violations(planning.normalize_assets(nested)).count() == 0
+
+
+def test_a_stamp_beyond_year_9999_has_no_sign(spark):
+    at = spark.createDataFrame([(5999999 * 86413,), (86413,)], "s LONG").select(F.timestamp_seconds("s").alias("at"))
+    assert [r[0] for r in at.select(sem.utc_stamp(F.col("at"))).collect()] == ["183991129T183947Z", "19700102T000013Z"]
