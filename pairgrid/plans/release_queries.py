@@ -8,7 +8,6 @@ from pairgrid.operators import release
 from pairgrid.plans import fixtures as fx
 from pairgrid.plans.fixture_sql import define, with_tables
 from pairgrid.plans.registry import query
-from pairgrid.session import staged
 
 ORDER = ("batch", "sample_id")
 
@@ -18,7 +17,7 @@ define("deduped", ("batches",), """
 
 
 def _batches(spark, sf):
-    return staged(fx.batches(spark, sf), "batches")
+    return fx.batches(spark, sf)
 
 
 @query("w2_dedup_union", with_tables(("deduped",), "SELECT batch, sample_id FROM deduped WHERE n = 1"))
