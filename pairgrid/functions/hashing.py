@@ -102,8 +102,12 @@ def float_text(x: Column) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), text)
 
 
-# A JSON text in parts: strings, numbers, and what stands between.
-_PARTS = r'"(?:[^"\\]|\\.)*"|-?[0-9][0-9.]*(?:E-?[0-9]+)?|[^"0-9-]+'
+# A JSON text in parts: numbers that may be noted otherwise, and runs of up to 64 of all else (strings, other numbers, what
+# stands between). Strings are read without backtracking, so long ones need no deep stack.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_FLOAT = r"-?[0-9]++\.[0-9]++(?:E-?[0-9]++)?+"
+_OTHER = r"-?[0-9]++(?![.E])|(?=[-0-9.]{1,16}+(?![0-9.E]))-?[0-9]++\.[0-9]++"
+_PARTS = rf'(?:{_STRING}|[^"0-9-]++|{_OTHER}){{1,64}}+|{_FLOAT}'
 
 
 def _ordered(c: Column, kind: T.DataType, without: str = "") -> Column:
@@ -146,10 +150,9 @@ def canonical_text(c: Column, kind: T.DataType, without: str = "") -> Column:
     """
     written = F.to_json(F.array(_ordered(c, kind, without)), {"ignoreNullFields": "false"})
     other = r"\.[0-9]{9}|[0-9]{8}\.|[0-9]E"  # holds for every number of 16 digits or with an exponent
-    is_float = lambda x: ~x.startswith('"') & F.contains(x, F.lit(".")) & (F.contains(x, F.lit("E")) | (F.length(x) > 16))
-    parts = lambda out: F.transform(
-        F.regexp_extract_all(out, F.lit(_PARTS), F.lit(0)), lambda x: F.when(is_float(x), float_text(F.when(is_float(x), x).cast("double"))).otherwise(x)
-    )
+    is_float = lambda x: (F.length(x) <= 30) & x.rlike(f"^{_FLOAT}$") & (F.contains(x, F.lit("E")) | (F.length(x) > 16))
+    renoted = lambda x: F.when(is_float(x), _let(x.cast("double"), float_text)).otherwise(x)
+    parts = lambda out: F.transform(F.regexp_extract_all(out, F.lit(_PARTS), F.lit(0)), renoted)
     noted = lambda out: F.when(out.rlike(other), F.array_join(parts(out), "")).otherwise(out)
     bare = _let(_let(_let(written, _small_escapes), noted), lambda out: F.substring(out, F.lit(2), F.length(out) - 2))
     finite = _finite(c, kind, without)
@@ -169,9 +172,11 @@ def bound_to_itself(c: Column, kind: T.StructType, field: str = "decision_sha256
 
 
 def signed(df: DataFrame, c: Column, field: str = "decision_sha256") -> Column:
-    """A struct of ``df`` with the hash of its other fields in ``field``; a null struct stays null."""
-    kind = kind_of(df, c)
-    return F.when(c.isNotNull(), c.withField(field, value_sha(c, kind, field)))
+    """A struct of ``df`` with the hash of its other fields in ``field``; a null struct stays null.
+
+    Whoever reads another field of it alone does not pay for the hash.
+    """
+    return c.withField(field, value_sha(c, kind_of(df, c), field))
 
 
 def kind_of(df: DataFrame, c: Column) -> T.DataType:

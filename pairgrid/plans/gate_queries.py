@@ -161,8 +161,11 @@ def _receipts(spark, sf):
     )
     # Where d is 0 a receipt is changed after it was signed: its depth, or its hash.
     own = hashing.signed(plain, F.col("receipt"))
-    changed = F.when(pk % 2 == 0, own.withField("target_center_depth_m", pk / 7.0 + 1e-9)).otherwise(own.withField("decision_sha256", F.lit("")))
-    return plain.withColumn("receipt", F.when(d == 0, changed).otherwise(own))
+    late, even = d == 0, pk % 2 == 0
+    changed = own.withField("target_center_depth_m", F.when(late & even, pk / 7.0 + 1e-9).otherwise(own["target_center_depth_m"])).withField(
+        "decision_sha256", F.when(late & ~even, F.lit("")).otherwise(own["decision_sha256"])
+    )
+    return plain.withColumn("receipt", changed)
 
 
 define("receipts", ("obs",), """
