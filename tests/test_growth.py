@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.sql import functions as F
+
 from __spark_entry__ import queries
 from conftest import SF
+from pairgrid.functions.hashing import canonical_text, kind_of
 
 
 def _plan(spark, name):
@@ -12,3 +17,12 @@ def _plan(spark, name):
 
 def test_evidence_is_read_without_hashing_the_receipt(spark):
     assert "to_json" not in _plan(spark, "p16_official_evidence") and "sha2" not in _plan(spark, "p16_official_evidence").replace("sha2(obj_id", "")
+
+
+def test_a_long_number_beside_long_texts_and_marks(spark):
+    texts = ["x" * 50000, "\x01abc", "abc\x02", 'a"\x01b\x02', "1.2345678901234567E8", 'q"\\']
+    rows = [(t, v) for t in texts for v in (1 / 7, 0.1 + 0.2, 1e-7, 2.5, -1e22)]
+    df = spark.createDataFrame(rows, "s STRING, v DOUBLE")
+    body = F.struct("s", "v")
+    got = [r[0] for r in df.select(canonical_text(body, kind_of(df, body))).collect()]
+    assert got == [json.dumps({"s": s, "v": v}, ensure_ascii=False, separators=(",", ":")) for s, v in rows]
