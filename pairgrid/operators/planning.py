@@ -536,22 +536,26 @@ def build_plan(
 ) -> DataFrame:
     """All jobs of a plan: single-asset ones and combinations.
 
-    The single-asset jobs are read by several steps and therefore written once.
+    The single-asset jobs, and in strict mode the assets and bound observations, are read
+    by several steps and therefore written once.
     Strict mode checks the plan and raises on the first kind of violation found:
     an asset or identity row repeated for one object would multiply observations,
     and every job needs an id of its own.
     """
     if strict:
+        assets = staged(assets, "assets")
         require_empty(key_violations(assets, ["obj_id"]), "an object has no id or several assets")
         if identity is not None:
             require_empty(key_violations(identity, ["obj_id"]), "an object has no id or several identity rows")
-    bound = bind_assets(eligible_observations(observations, min_area, min_visibility), assets)
+        # Tokens are checked on all observations, so they are bound once, before the eligible are chosen.
+        every = staged(bind_assets(observations, assets), "bound")
+        require_empty(every.filter("token_differs").select("obj_id"), "instance token differs")
+        bound = eligible_observations(every, min_area, min_visibility)
+    else:
+        bound = bind_assets(eligible_observations(observations, min_area, min_visibility), assets)
     if identity is not None:
         bound = bind_identity(bound, identity)
-    if strict:
-        tokens = bind_assets(observations, assets).filter("token_differs").select("obj_id")
-        require_empty(tokens, "instance token differs")
-        if identity is not None:
+        if strict:
             require_empty(bound.filter(F.col("identity_code").isNotNull()).select("obj_id", "identity_code"), "identity evidence")
     singles = staged(to_jobs(review_evidence(bound)), "jobs")
     if strict:

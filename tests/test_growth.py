@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from conftest import SF
-from pairgrid.functions.hashing import canonical_text, kind_of
+from pairgrid.functions.hashing import canonical_text, kind_of, manifest_digest
+from pairgrid.operators import planning
+from pairgrid.sources import writers
 
 
 def _plan(spark, name):
@@ -26,3 +28,21 @@ def test_a_long_number_beside_long_texts_and_marks(spark):
     body = F.struct("s", "v")
     got = [r[0] for r in df.select(canonical_text(body, kind_of(df, body))).collect()]
     assert got == [json.dumps({"s": s, "v": v}, ensure_ascii=False, separators=(",", ":")) for s, v in rows]
+
+
+def test_a_strict_plan_binds_observations_once(spark, monkeypatch):
+    calls, bind = [], planning.bind_assets
+    monkeypatch.setattr(planning, "bind_assets", lambda *given: calls.append(1) or bind(*given))
+    queries()["g2_plan"](spark, SF)
+    assert len(calls) == 1
+
+
+def test_a_written_version_is_summed_up_once(spark, monkeypatch, tmp_path):
+    def refused(*_):
+        raise AssertionError("the version is read again")
+
+    monkeypatch.setattr(writers, "manifest_digest", refused, raising=False)
+    df = spark.range(5).withColumn("v", F.col("id") * 2)
+    writers.publish_table(df, str(tmp_path / "t"), ["id", "v"])
+    told = writers.published_versions(spark, str(tmp_path / "t")).first()
+    assert (told.row_count, told.digest) == tuple(manifest_digest(df, ["id", "v"]).first())
