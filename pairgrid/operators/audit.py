@@ -33,18 +33,25 @@ from pairgrid.operators.rings import group_id, ring_record_sha, visible_by_camer
 # --- table against table -------------------------------------------------
 
 
-def reconcile(expected: DataFrame, observed: DataFrame, keys: list[str]) -> DataFrame:
+def reconcile(expected: DataFrame, observed: DataFrame, keys: list[str], few: tuple[str, Sequence[str]] | None = None) -> DataFrame:
     """Keys found on one side only, as ``missing`` or ``extra``.
 
     One aggregation over both sides: repeats combine before the shuffle, so a
-    key that fills a large share of a side costs nothing extra.
+    key that fills a large share of a side costs nothing extra. ``few`` names a text key
+    and its usual values: these move as one row of the other keys, any other value as its own.
     """
     tagged = expected.select(*keys, F.lit(1).alias("_side")).unionByName(observed.select(*keys, F.lit(2).alias("_side")))
-    return (
-        tagged.groupBy(*keys)
-        .agg(F.bit_or("_side").alias("_side"))
-        .filter(F.col("_side") != 3)
-        .select(*keys, F.when(F.col("_side") == 1, "missing").otherwise("extra").alias("side"))
+    name, usual = few or (None, ())
+    known = F.coalesce(F.col(name).isin(*usual), F.lit(False)) if few else F.lit(False)
+    place = [F.when(~known, F.col(k)).alias(k) if k == name else F.col(k) for k in keys]
+    values = [F.col(name) == v for v in usual]
+    sides = [F.bit_or(F.when(rule, F.col("_side"))).alias(f"_side{i}") for i, rule in enumerate([*values, ~known])]
+    found = tagged.groupBy(*place).agg(*sides)
+    rows = [(F.lit(v) if few else None, F.col(f"_side{i}")) for i, v in enumerate(usual)] + [(F.col(name) if few else None, F.col(f"_side{len(usual)}"))]
+    each = F.array(*[F.struct(*([v.alias("value")] if few else []), side.alias("side")) for v, side in rows])
+    single = found.select(*[k for k in keys if k != name], F.explode(F.filter(each, lambda x: x["side"] != 3)).alias("_s"))
+    return single.select(
+        *[F.col("_s.value").alias(k) if k == name else F.col(k) for k in keys], F.when(F.col("_s.side") == 1, "missing").otherwise("extra").alias("side")
     )
 
 

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pairgrid.functions.hashing import bound_to_itself, kind_of, manifest_digest, value_sha
+from pairgrid.functions.semantics import ROLES
 from pairgrid.operators import audit, rings
 from pairgrid.plans import fixtures as fx
 from pairgrid.plans.fixture_sql import define, with_tables
@@ -29,7 +30,7 @@ define("expected_files", ("records",), """
   UNION ALL SELECT role, name, 'extra' FROM (SELECT role, name FROM files EXCEPT SELECT * FROM expected_files)"""))
 def _(spark, sf):
     expected = audit.content_rows(fx.records(spark, sf)).select("role", "name")
-    return audit.reconcile(expected, _observed(spark, sf), ["role", "name"])
+    return audit.reconcile(expected, _observed(spark, sf), ["role", "name"], ("role", ROLES))
 
 
 @query("j12_reconcile_counts", with_tables(("records", "files"), """
@@ -37,7 +38,7 @@ def _(spark, sf):
          (SELECT count(DISTINCT scene_name) FROM records) AS extra_count"""))
 def _(spark, sf):
     expected = audit.content_rows(fx.records(spark, sf)).select("role", "name")
-    return audit.reconcile_counts(audit.reconcile(expected, _observed(spark, sf), ["role", "name"]))
+    return audit.reconcile_counts(audit.reconcile(expected, _observed(spark, sf), ["role", "name"], ("role", ROLES)))
 
 
 define("content_errors", ("records", "files"), """

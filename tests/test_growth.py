@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from conftest import SF
 from pairgrid.functions.hashing import canonical_text, kind_of, manifest_digest
-from pairgrid.operators import planning
+from pairgrid.functions.semantics import ROLES
+from pairgrid.operators import audit, planning
 from pairgrid.sources import writers
 
 
@@ -46,3 +47,13 @@ def test_a_written_version_is_summed_up_once(spark, monkeypatch, tmp_path):
     writers.publish_table(df, str(tmp_path / "t"), ["id", "v"])
     told = writers.published_versions(spark, str(tmp_path / "t")).first()
     assert (told.row_count, told.digest) == tuple(manifest_digest(df, ["id", "v"]).first())
+
+
+def test_usual_values_are_reconciled_in_one_row(spark):
+    kind = "role STRING, name STRING"
+    left = spark.createDataFrame([("gt", "a"), ("gt", "a"), ("input", "a"), ("odd", "a"), (None, "b"), ("gt", None), ("target", "c")], kind)
+    right = spark.createDataFrame([("gt", "a"), ("target", "a"), ("odd", "b"), (None, "b"), (None, None), ("target", "c")], kind)
+    plain, packed = (sorted(map(tuple, audit.reconcile(left, right, ["role", "name"], few).collect()), key=repr) for few in (None, ("role", ROLES)))
+    assert plain == packed and len(packed) == 6
+    text = _plan(spark, "j12_reconcile")
+    assert "bit_or" in text and "_side3" in text
