@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain, groupby
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pairgrid.functions.gates import cleanup_receipt, dimensions_ok, geometry_pass
 from pairgrid.functions.hashing import bound_to_itself, kind_of, signed
@@ -564,6 +566,49 @@ def run_windows(jobs: DataFrame, worker: Callable[[Iterator[pa.RecordBatch]], It
     return ordered.groupBy(*window).applyInArrow(run, schema)
 
 
+#: Types that pandas holds alike, whoever turns a frame into one.
+_FLAT = (T.StringType, T.BooleanType, T.IntegralType, T.FloatType, T.DoubleType, T.BinaryType)
+
+
+def _windows(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table | None]:
+    """The rows of one key after another, of rows in its order; None after each batch."""
+    open_key, parts = None, []
+    for batch in batches:
+        start = 0
+        for value, rows in groupby(zip(*(batch.column(k).to_pylist() for k in key))):
+            if parts and value != open_key:
+                yield pa.Table.from_batches(parts)
+                parts = []
+            count = sum(1 for _ in rows)
+            parts.append(batch.slice(start, count))
+            open_key, start = value, start + count
+        yield None
+    if parts:
+        yield pa.Table.from_batches(parts)
+
+
+def _framed(worker: Callable[[pd.DataFrame], pd.DataFrame], key: list[str], columns: list[str], made: pa.Schema) -> Callable:
+    """``worker`` over the frames of all keys of a task; what they make goes on batch by batch."""
+
+    def batch_of(frame: pd.DataFrame) -> pa.RecordBatch:
+        if not any(isinstance(c, str) for c in frame.columns):
+            frame = frame.set_axis(made.names[: frame.shape[1]], axis=1)
+        cells = [pa.Array.from_pandas(frame[f.name], mask=frame[f.name].isnull(), type=f.type, safe=False) for f in made]
+        return pa.RecordBatch.from_arrays(cells, schema=made)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[pa.RecordBatch] = []
+        for rows in chain(_windows(batches, key), [None]):
+            if rows is not None:
+                frame = worker(rows.select(columns).to_pandas())
+                done += [batch_of(frame)] if len(frame) else []
+            elif done:
+                yield from pa.Table.from_batches(done).combine_chunks().to_batches()
+                done = []
+
+    return run
+
+
 def run_batches(
     jobs: DataFrame, worker: Callable[[pd.DataFrame], pd.DataFrame], schema: str, max_rows: int | None = None
 ) -> DataFrame:
@@ -571,6 +616,9 @@ def run_batches(
 
     A worker that can take a window in parts may ask for ``max_rows``: windows of
     more jobs are then cut into about equal parts and spread over tasks.
+
+    A task reads its windows as one stream and makes a frame of each: a stream for each
+    window costs more than most workers do.
     """
     window = ["scene_name", "window_id"]
     if max_rows is None:
@@ -581,8 +629,13 @@ def run_batches(
     key = [*window, "_part"]
     columns = jobs.columns
 
+    ordered = placed.drop("_parts").repartition(*key).sortWithinPartitions(*key, "sample_id")
+    kind = T._parse_datatype_string(schema)
+    if all(isinstance(f.dataType, _FLAT) for f in [*jobs.schema, *kind]):
+        return ordered.mapInArrow(_framed(worker, key, columns, to_arrow_schema(kind)), schema)
+
+    # Times and nested values are left to Spark's own conversion, a group at a time.
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         return worker(rows[columns])
 
-    ordered = placed.drop("_parts").repartition(*key).sortWithinPartitions(*key, "sample_id")
     return ordered.groupBy(*key).applyInPandas(run, schema)

@@ -457,7 +457,8 @@ def _(spark, sf):
 def _toy_worker(rows: pd.DataFrame) -> pd.DataFrame:
     """One row a batch: what it was handed."""
     ids = rows["sample_id"]
-    return rows.iloc[:1][["scene_name", "window_id"]].assign(size=len(rows), first_id=ids.min(), last_id=ids.max())
+    first = {c: [rows[c].iat[0]] for c in ("scene_name", "window_id")}
+    return pd.DataFrame({**first, "size": [len(rows)], "first_id": [ids.min()], "last_id": [ids.max()]})
 
 
 @query("e2_run_batches", with_tables(("jobs",), """

@@ -79,6 +79,32 @@ def test_windows_stay_together_and_large_ones_are_cut(spark):
     assert (out.loc[out.window_id != "hot", "size"] == 10).all()
 
 
+def test_windows_across_arrow_batches_keep_their_own_types(spark):
+    """A null in one window changes no number of another; a window over several batches is one frame."""
+    jobs = spark.range(3000).select(
+        F.format_string("j%05d", F.col("id") * 7919 % 3000).alias("sample_id"), F.lit("s").alias("scene_name"),
+        F.when(F.col("id") < 1500, "hot").when(F.col("id") % 40 > 0, F.concat(F.lit("w"), (F.col("id") % 40).cast("string"))).alias("window_id"),
+        F.when(F.col("id") % 40 != 7, F.lit(2**60 + 1) + F.col("id")).alias("big"),
+    )
+
+    def worker(rows: pd.DataFrame) -> pd.DataFrame:
+        ordered = rows["sample_id"].is_monotonic_increasing
+        total = None if rows["big"].isnull().any() else sum(int(x) % 2**60 for x in rows["big"])
+        names = list(rows.columns)
+        return pd.DataFrame({"window_id": rows["window_id"].iloc[:1], "size": len(rows), "ordered": ordered, "total": total, "columns": len(names)})
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        out = audit.run_batches(jobs, worker, "window_id STRING, size LONG, ordered BOOLEAN, total LONG, columns LONG")
+        assert "FlatMapGroups" not in out._jdf.queryExecution().executedPlan().toString()
+        found = {r.window_id: (r.size, r.ordered, r.total, r.columns) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    sums = jobs.groupBy("window_id").agg(F.count("*").alias("n"), F.sum(F.col("big") - 2**60).alias("t"), F.count_if(F.col("big").isNull()).alias("none"))
+    assert found == {r.window_id: (r.n, True, None if r.none else r.t, 4) for r in sums.collect()}
+
+
 def test_a_window_is_streamed_whole_and_in_order(spark):
     jobs = spark.range(5000).select(
         F.format_string("j%05d", F.col("id") * 7919 % 5000).alias("sample_id"), F.lit("s").alias("scene_name"),
