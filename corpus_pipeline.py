@@ -49,7 +49,10 @@ def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group whose five-word runs are at least 0.8 alike."""
+    """Keeps the document with the smallest id of each group whose five-word runs are at least 0.8 alike.
+
+    Candidates are probed by op4's steps and by bands of minimum hashes, and compared exactly.
+    """
     return near_copies.one_of_each(docs)
 
 

@@ -1,9 +1,12 @@
 """Groups of texts whose word shingles are at least 0.8 alike, verified by exact Jaccard similarity.
 
-Each text is a set of hashed five-word runs. Candidates share a band of minimum hashes:
-20 bands of 4 leave out a pair of similarity s with odds (1 - s^4)^20, which is 3 in
-100,000 at 0.8. Members of a bucket are compared by their whole sets; estimates decide
-nothing.
+Each text is a set of hashed five-word runs. Its SimHash fingerprint goes through op4's
+steps (correlated bits grouped, thresholds by dynamic programming, probe and verify), and
+texts whose fingerprints are joined by links of at most two bits are one bucket. Sets that are
+0.8 alike differ in ten bits or so, for which a probe of 64 bits would read most rows. Texts
+that share a band of minimum hashes are therefore a bucket too: 20 bands of 4 leave out a pair
+of similarity s with odds (1 - s^4)^20, which is 3 in 100,000 at 0.8. Members of a bucket are
+compared by their whole sets; estimates decide nothing.
 
 A bucket over ``crowd`` members is dealt to chunks by a hash. First each chunk is
 compared within itself; other bands deal the same texts to other chunks, so a tight group
@@ -24,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairgrid.llm.common import free_buffers, short_batches, whole_text
-from pairgrid.llm.simhash import roots
+from pairgrid.llm.simhash import links, majority, roots
 from pairgrid.session import staged
 
 WIDTH, LEAST = 5, 0.8
@@ -61,9 +64,9 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """doc_id, sha (a hash of the text), node (a hash of the shingle set) and bands of each row."""
+    """doc_id, sha (a hash of the text), node (a hash of the shingle set), bands and fp of each row; an empty set has no fp."""
 
-    @F.pandas_udf("node long, bands array<long>")
+    @F.pandas_udf("node long, bands array<long>, fp long")
     def sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import xxhash
 
@@ -72,13 +75,13 @@ def sketches(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
             for x in texts:
                 hashes = shingles(x, width)
                 node = np.uint64(xxhash.xxh64_intdigest(hashes.tobytes())).astype(np.int64)
-                rows.append((node, band_keys(hashes)))
-            yield pd.DataFrame(rows, columns=["node", "bands"])
+                rows.append((node, band_keys(hashes), majority(hashes[k : k + _BLOCK] for k in range(0, len(hashes), _BLOCK))))
+            yield pd.DataFrame(rows, columns=["node", "bands", "fp"])
         free_buffers()
 
     short_batches(docs.sparkSession)
     both = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole_text(text)).alias("sha"), sketched(whole_text(text)).alias("s"))
-    return both.select("doc_id", "sha", "s.node", "s.bands")
+    return both.select("doc_id", "sha", "s.node", "s.bands", F.when(F.size("s.bands") > 0, F.col("s.fp")).alias("fp"))
 
 
 def _linking(width: int, least: float) -> Callable[[pa.Table], pa.Table]:
@@ -130,9 +133,18 @@ def _texts(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFram
     return found.select("node", "text").dropDuplicates(["node"])
 
 
+def _probed(distinct: DataFrame) -> DataFrame:
+    """node and the key of its bucket, which is a group of fingerprints within op4's two bits."""
+    nodes = distinct.where("fp IS NOT NULL").select("node", "fp")
+    prints = staged(nodes.select("fp").distinct(), "prints")
+    groups = roots(links(prints)).withColumnRenamed("node", "print")
+    grouped = nodes.join(groups, F.col("fp") == F.col("print"), "left")
+    return grouped.select("node", F.xxhash64(F.lit("prints"), F.coalesce("root", "fp")).alias("key"))
+
+
 def components(docs: DataFrame, distinct: DataFrame, doc_id: str, text: str, width: int, least: float, crowd: int) -> DataFrame:
-    """node and root of all nodes that are linked. ``distinct`` has node, keeper and bands."""
-    rows = distinct.select("node", F.explode("bands").alias("key"))
+    """node and root of all nodes that are linked. ``distinct`` has node, keeper, bands and fp."""
+    rows = distinct.select("node", F.explode("bands").alias("key")).unionByName(_probed(distinct))
     marks = (F.count("*").alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"), F.min("node").alias("low"), F.max("node").alias("high"))
     buckets = rows.groupBy("key").agg(*marks).where("size > 1")
     # Buckets of the same members stand for one.
@@ -177,7 +189,7 @@ def one_of_each(
     """
     seen = staged(sketches(docs, doc_id, text, width), "sketches")
     keeper = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha")).alias("keeper")
-    distinct = staged(seen.groupBy("node").agg(keeper, F.first("bands").alias("bands")), "distinct")
+    distinct = staged(seen.groupBy("node").agg(keeper, F.first("bands").alias("bands"), F.first("fp").alias("fp")), "distinct")
     found = components(docs, distinct, doc_id, text, width, least, crowd).withColumnRenamed("node", "linked")
     rooted = distinct.join(found, F.col("node") == F.col("linked"), "left").withColumn("root", F.coalesce("root", "node"))
     best = rooted.groupBy("root").agg(F.min("keeper").alias("k")).select("k.doc_id", "k.sha")

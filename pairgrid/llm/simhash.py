@@ -16,7 +16,7 @@ capped. It needs tau = 2; for other tau all buckets are probed pair by pair.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
@@ -45,12 +45,17 @@ def simhash(text: str, width: int = 3, seed: int = 42) -> int:
         return 0
     runs = [b" ".join(words)] if len(words) < width else list(map(b" ".join, zip(*(words[k:] for k in range(width)))))
     digest = partial(xxhash.xxh64_intdigest, seed=seed)
-    ones = np.zeros(BITS, dtype=np.int64)
-    for k in range(0, len(runs), _BLOCK):
-        hashes = np.fromiter(map(digest, runs[k : k + _BLOCK]), dtype="<u8")
+    return majority(np.fromiter(map(digest, runs[k : k + _BLOCK]), dtype="<u8") for k in range(0, len(runs), _BLOCK))
+
+
+def majority(blocks: Iterable[np.ndarray]) -> int:
+    """Signed 64-bit number of the bits that are set in over half of all hashes of the blocks."""
+    ones, n = np.zeros(BITS, dtype=np.int64), 0
+    for hashes in blocks:
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(runs), bitorder="little").view("<i8")[0])
+        n += len(hashes)
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, seed: int = 42) -> DataFrame:

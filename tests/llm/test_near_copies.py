@@ -3,6 +3,7 @@
 import random
 
 import pytest
+import xxhash
 
 import corpus_pipeline
 from conftest import SF
@@ -64,3 +65,24 @@ def test_stage_links_at_a_similarity_of_80_percent(spark):
     assert similarity(runs(" ".join(words)), runs(" ".join(near))) >= 0.8 > similarity(runs(" ".join(words)), runs(" ".join(far)))
     kept = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, SF)
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2]
+
+
+def fingerprint(text):
+    hashes = [xxhash.xxh64_intdigest(x.encode(), seed=42) for x in runs(text)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_probe_of_fingerprints_finds_near_copies_that_share_no_band(spark, monkeypatch):
+    """Bands hold one text each here, so all that is found comes from fingerprints within two bits."""
+    monkeypatch.setattr(near_copies, "band_keys", lambda hashes: [int(hashes.sum(dtype="uint64").astype("int64"))] if len(hashes) else [])
+    texts = [*corpus(6, 12, words=900, edits=(1,)), "", " "]
+    prints, sets = [fingerprint(t) for t in texts], [runs(t) for t in texts]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 2:
+                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    assert all(similarity(sets[k], sets[r]) >= 0.8 for k, r in enumerate(root) if k != r and sets[k])
+    want = sorted(set(root))
+    assert 6 < len(want) < len(texts) - 6
+    assert kept_of(spark, texts) == want
