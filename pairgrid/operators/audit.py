@@ -368,7 +368,7 @@ def audit_release(
     if strict and reviews is not None:
         require_empty(review_membership(records, reviews), "reviews do not match the records")
     own = record_errors(records, reviews).filter(F.size("errors") > 0).select("sample_id", F.explode("errors").alias("code"))
-    stored = content_errors(content_rows(records), files).select("sample_id", "code")
+    stored = content_errors(content_sets(records), files).select("sample_id", "code")
     repeated = duplicate_triplets(records, order).select("sample_id", F.lit("duplicate_triplet_content").alias("code"))
     candidates = (
         own.unionByName(stored)

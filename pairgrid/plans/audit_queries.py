@@ -50,7 +50,7 @@ define("content_errors", ("records", "files"), """
 
 @query("j13_content_errors", with_tables(("content_errors",), "SELECT * FROM content_errors"))
 def _(spark, sf):
-    return audit.content_errors(audit.content_rows(fx.records(spark, sf)), _observed(spark, sf))
+    return audit.content_errors(audit.content_sets(fx.records(spark, sf)), _observed(spark, sf))
 
 
 def _results(spark, sf):
