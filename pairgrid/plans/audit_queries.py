@@ -233,10 +233,9 @@ def _release(spark, sf):
         ),
         "layered",
     )
-    files = audit.content_rows(records).join(records.select("sample_id", "d", "q"), "sample_id").select(
-        "role", "name", F.when((F.col("d") == 0) & (F.col("role") == "gt"), F.sha2("expected", 256)).otherwise(F.col("expected")).alias("sha256")
-    )
-    return records, files
+    altered = F.col("content_sha256").withField("gt", F.when(F.col("d") == 0, F.sha2("content_sha256.gt", 256)).otherwise(F.col("content_sha256.gt")))
+    stored = audit.content_rows(records.select("sample_id", altered.alias("content_sha256")))
+    return records, stored.select("role", "name", F.col("expected").alias("sha256"))
 
 
 define("release_reasons", ("record_errors", "gate"), """

@@ -60,3 +60,12 @@ def test_roles_move_as_a_few_bytes_and_are_told_apart(spark):
 def test_no_hash_as_text_is_joined(spark):
     moved = joined_columns(queries()["j13_content_errors"](spark, SF))
     assert {"wanted", "stored"} <= moved and not moved & {"expected", "sha256", "sample_id", "role"}
+
+
+def test_records_and_reviews_stay_where_they_lie(spark):
+    from pairgrid.plans import audit_queries
+
+    records, files = audit_queries._release(spark, SF)
+    moved = joined_columns(audit.record_errors(records, audit_queries._reviews(records)))
+    assert moved and not moved & {"asset_layers", "_review", "decision", "content_sha256", "record_sha256"}
+    assert not joined_columns(files)
